@@ -20,7 +20,7 @@ from cartlake.functions.typing import utc_wall_clock
 from cartlake.operators import checks, export, monitor
 from cartlake.plans import gold, silver
 from cartlake.plans.declared_checks import CHECKS
-from cartlake.plans.medallion import RunLog, gold_tables, silver_tables
+from cartlake.plans.medallion import RunLog, build_gold, build_silver, raise_on_error
 from cartlake.session import shared_folder
 from cartlake.sources import derived, jsonl
 from cartlake.sources.warehouse import Warehouse
@@ -69,12 +69,12 @@ def stored_layers(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The stored silver and gold tables."""
 
     def land():
+        bronze(spark, folder)
         lake = warehouse(spark, folder)
-        events = silver.raw_events(bronze(spark, folder))
-        kept = {m: lake.replace(SILVER, m, df) for m, df in silver_tables(events).items()}
-        for model, df in gold_tables(kept).items():
-            kept[model] = lake.replace(GOLD, model, df)
-        return kept
+        raise_on_error(build_silver(lake))
+        raise_on_error(build_gold(lake))
+        silver_kept = {m: lake.read(SILVER, m) for m in SILVER_MODELS}
+        return silver_kept | {m: lake.read(GOLD, m) for m in GOLD_MODELS}
 
     return _once(spark, folder, "layers", land)
 
@@ -243,7 +243,8 @@ def q_stream_clicks(spark, folder):
 
     def run():
         schema = spark.read.parquet(f"{folder}/events.parquet").schema
-        clicks = spark.readStream.schema(schema).parquet(f"{folder}/events.parquet")
+        # A pattern, since a stream takes a plain path for a folder of files.
+        clicks = spark.readStream.schema(schema).parquet(f"{folder}/{{events.parquet}}")
         known = {
             "event_id": F.col("event_id").cast("string"),
             "event_type": F.col("event_type"),

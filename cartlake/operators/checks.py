@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -143,21 +144,58 @@ def _row_check(check: Check) -> Column:
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
-def _row_checks(table: DataFrame, checks: list[Check]) -> DataFrame:
-    counts = table.agg(*[_row_check(c).cast("bigint").alias(f"f{i}") for i, c in enumerate(checks)])
+def _as_rows(counts: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row of counts f0, f1, ... to one labelled row per check."""
     rows = [F.struct(*_labels(c), F.col(f"f{i}").alias("failures")) for i, c in enumerate(checks)]
     return counts.select(F.inline(F.array(*rows)))
 
 
-def _key_check(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
-    table = tables[check.model]
-    if check.kind == "unique":
-        failures = repeated_keys(table, check.column).agg(F.count(F.lit(1)).alias("failures"))
-    else:
-        parent, parent_key = check.argument
-        orphans = orphan_keys(table, check.column, tables[parent], parent_key)
-        failures = orphans.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures"))
-    return failures.select(*_labels(check), F.col("failures").cast("bigint").alias("failures"))
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _row_checks(table: DataFrame, checks: list[Check]) -> DataFrame:
+    counts = table.agg(*[_row_check(c).cast("bigint").alias(f"f{i}") for i, c in enumerate(checks)])
+    return _as_rows(counts, checks)
+
+
+def _key_rows(number: int, table: DataFrame, key: str, parent: bool) -> DataFrame:
+    return table.where(F.col(key).isNotNull()).select(
+        F.lit(number).alias("check_no"),
+        F.col(key).cast("string").alias("key"),
+        F.lit(0 if parent else 1).cast("bigint").alias("child_rows"),
+        F.lit(parent).alias("is_parent"),
+    )
+
+
+def _key_checks(tables: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """All unique and foreign-key checks in one aggregation per (check, key).
+
+    A key fails a unique check when it has more than one row, and a foreign-key
+    check with all its rows when no parent row carries it. No join is needed, and
+    rows combine before the only wide exchange.
+    """
+    rows = []
+    for number, check in enumerate(checks):
+        rows.append(_key_rows(number, tables[check.model], check.column, parent=False))
+        if check.kind == "relationships":
+            parent, parent_key = check.argument
+            rows.append(_key_rows(number, tables[parent], parent_key, parent=True))
+    per_key = (
+        _union(rows)
+        .groupBy("check_no", "key")
+        .agg(F.sum("child_rows").alias("n"), F.bool_or("is_parent").alias("known"))
+    )
+
+    def failures(number: int, check: Check) -> Column:
+        if check.kind == "unique":
+            failed = F.when(F.col("n") > 1, 1)
+        else:
+            failed = F.when(~F.col("known"), F.col("n"))
+        total = F.sum(F.when(F.col("check_no") == number, failed))
+        return F.coalesce(total, F.lit(0)).cast("bigint").alias(f"f{number}")
+
+    return _as_rows(per_key.agg(*[failures(i, c) for i, c in enumerate(checks)]), checks)
 
 
 def count_failures(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
@@ -165,17 +203,15 @@ def count_failures(tables: Mapping[str, DataFrame], checks: Iterable[Check]) ->
     checks = list(checks)
     if not checks:
         raise ValueError("no checks given")
-    parts = []
-    for model in dict.fromkeys(c.model for c in checks):
-        of_model = [c for c in checks if c.model == model]
-        by_row = [c for c in of_model if c.kind not in ("unique", "relationships")]
-        if by_row:
-            parts.append(_row_checks(tables[model], by_row))
-        parts += [_key_check(c, tables) for c in of_model if c not in by_row]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    by_key = [c for c in checks if c.kind in ("unique", "relationships")]
+    by_row = [c for c in checks if c not in by_key]
+    parts = [
+        _row_checks(tables[model], [c for c in by_row if c.model == model])
+        for model in dict.fromkeys(c.model for c in by_row)
+    ]
+    if by_key:
+        parts.append(_key_checks(tables, by_key))
+    return _union(parts)
 
 
 def run_checks(

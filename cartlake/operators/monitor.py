@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -74,10 +75,7 @@ def count_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
         )
         for name, df in tables.items()
     ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
 
 
 def count_rows_isolated(spark: SparkSession, tables: Mapping[str, object]) -> DataFrame:
