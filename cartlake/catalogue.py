@@ -29,15 +29,7 @@ from cartlake.streaming import ingest
 RUN_ID = "run-1"
 AS_OF = "2001-11-05 01:37:30"  # shortly after the newest derived event
 
-_landed: dict[tuple[str, str, str], object] = {}
-
-
-def _once(spark: SparkSession, folder: str, what: str, make: Callable[[], object]):
-    """Result of `make`, once per session and input folder."""
-    key = (spark.sparkContext.applicationId, folder, what)
-    if key not in _landed:
-        _landed[key] = make()
-    return _landed[key]
+_landed: dict[tuple[str, str, str], str] = {}
 
 
 def _scratch(spark: SparkSession, folder: str, what: str) -> str:
@@ -47,36 +39,49 @@ def _scratch(spark: SparkSession, folder: str, what: str) -> str:
     return f"{shared_folder(spark)}/cartlake/{app}/{tag}/{what}-{uuid.uuid4().hex[:8]}"
 
 
+def _once(
+    spark: SparkSession, folder: str, what: str, write: Callable[[str], None] | None = None
+) -> str:
+    """Folder that `write` fills the first time an application asks for it.
+
+    Only a completed write is remembered; a failed one leaves its folder unused.
+    """
+    key = (spark.sparkContext.applicationId, folder, what)
+    if key not in _landed:
+        path = _scratch(spark, folder, what)
+        if write is not None:
+            write(path)
+        _landed[key] = path
+    return _landed[key]
+
+
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    return _once(
-        spark, folder, "warehouse",
-        lambda: Warehouse(spark, Storage(root=_scratch(spark, folder, "lake"))),
-    )
+    return Warehouse(spark, Storage(root=_once(spark, folder, "lake")))
 
 
 def bronze(spark: SparkSession, folder: str) -> DataFrame:
     """The landed event table."""
+    lake = warehouse(spark, folder)
 
-    def land():
-        events = derived.events(spark, folder)
-        lake = warehouse(spark, folder)
-        return lake.replace(BRONZE, "raw_events", events, [S.EVENT_PARTITION])
+    def land(_):
+        lake.replace(BRONZE, "raw_events", derived.events(spark, folder), [S.EVENT_PARTITION])
 
-    return _once(spark, folder, "bronze", land)
+    _once(spark, folder, "bronze", land)
+    return lake.read(BRONZE, "raw_events")
 
 
 def stored_layers(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The stored silver and gold tables."""
+    bronze(spark, folder)
+    lake = warehouse(spark, folder)
 
-    def land():
-        bronze(spark, folder)
-        lake = warehouse(spark, folder)
+    def land(_):
         raise_on_error(build_silver(lake))
         raise_on_error(build_gold(lake))
-        silver_kept = {m: lake.read(SILVER, m) for m in SILVER_MODELS}
-        return silver_kept | {m: lake.read(GOLD, m) for m in GOLD_MODELS}
 
-    return _once(spark, folder, "layers", land)
+    _once(spark, folder, "layers", land)
+    kept = {m: lake.read(SILVER, m) for m in SILVER_MODELS}
+    return kept | {m: lake.read(GOLD, m) for m in GOLD_MODELS}
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -228,58 +233,47 @@ def _drain(spark, folder, what: str, source: DataFrame) -> DataFrame:
 
 def q_stream_to_bronze(spark, folder):
     """Wire records from files, streamed into a partitioned bronze table."""
-
-    def run():
-        wire = _scratch(spark, folder, "wire")
-        ingest.encode_json(bronze(spark, folder)).write.parquet(wire)
-        records = ingest.file_records(spark, wire)
-        return _drain(spark, folder, "streamed", ingest.decode(records, "json"))
-
-    return _once(spark, folder, "streamed", run)
+    events = bronze(spark, folder)
+    wire = _once(
+        spark, folder, "wire", lambda path: ingest.encode_json(events).write.parquet(path)
+    )
+    records = ingest.file_records(spark, wire)
+    return _drain(spark, folder, "streamed", ingest.decode(records, "json"))
 
 
 def q_stream_clicks(spark, folder):
     """The click table, streamed as it is, through the wire form into bronze."""
-
-    def run():
-        schema = spark.read.parquet(f"{folder}/events.parquet").schema
-        # A pattern, since a stream takes a plain path for a folder of files.
-        clicks = spark.readStream.schema(schema).parquet(f"{folder}/{{events.parquet}}")
-        known = {
-            "event_id": F.col("event_id").cast("string"),
-            "event_type": F.col("event_type"),
-            "timestamp": F.concat(
-                F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")
-            ),
-            "user_id": F.col("user_id").cast("string"),
-            "payload_items": F.col("props"),
-        }
-        shaped = clicks.select(
-            *[known.get(n, F.lit(None).cast("string")).alias(n) for n in S.EVENT_COLUMNS]
-        )
-        wire = ingest.encode_json(shaped)
-        return _drain(spark, folder, "clicks", ingest.decode(wire, "json"))
-
-    landed = _once(spark, folder, "clicks", run)
-    return landed.select("event_id", "event_type", "timestamp", "user_id", "payload_items")
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    # A pattern, since a stream takes a plain path for a folder of files.
+    clicks = spark.readStream.schema(schema).parquet(f"{folder}/{{events.parquet}}")
+    known = {
+        "event_id": F.col("event_id").cast("string"),
+        "event_type": F.col("event_type"),
+        "timestamp": F.concat(
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")
+        ),
+        "user_id": F.col("user_id").cast("string"),
+        "payload_items": F.col("props"),
+    }
+    shaped = clicks.select(
+        *[known.get(n, F.lit(None).cast("string")).alias(n) for n in S.EVENT_COLUMNS]
+    )
+    wire = ingest.encode_json(shaped)
+    landed = _drain(spark, folder, "clicks", ingest.decode(wire, "json"))
+    return landed.select(*known)
 
 
 def q_jsonl_load(spark, folder):
     """Events written as JSON lines with nested payloads, read back as text columns."""
-
-    def run():
-        path = _scratch(spark, folder, "lines")
-        nested = bronze(spark, folder).withColumn(
-            "payload_payments",
-            F.from_json(
-                F.replace("payload_payments", F.lit("'"), F.lit('"')),
-                "array<struct<payment_type:string,payment_installments:int,payment_value:double>>",
-            ),
-        )
-        nested.select(F.to_json(F.struct(*S.EVENT_COLUMNS)).alias("value")).write.text(path)
-        return path
-
-    return jsonl.read_events(spark, _once(spark, folder, "lines", run))
+    nested = bronze(spark, folder).withColumn(
+        "payload_payments",
+        F.from_json(
+            F.replace("payload_payments", F.lit("'"), F.lit('"')),
+            "array<struct<payment_type:string,payment_installments:int,payment_value:double>>",
+        ),
+    )
+    lines = nested.select(F.to_json(F.struct(*S.EVENT_COLUMNS)).alias("value"))
+    return jsonl.read_events(spark, _once(spark, folder, "lines", lines.write.text))
 
 
 # Export and logs
