@@ -23,21 +23,28 @@ def repair_quotes(text: Column, lenient: bool = False) -> Column:
     return text if lenient else F.replace(text, F.lit("'"), F.lit('"'))
 
 
-def _spread(df: DataFrame, document: Column, fields: T.StructType) -> DataFrame:
-    parsed = F.from_json(document, fields, _JSON_OPTIONS)
-    return df.select("*", F.inline(F.array(parsed)))
+def _spread(df: DataFrame, record: Column) -> DataFrame:
+    return df.select("*", F.inline(F.array(record)))
 
 
 def spread_first_element(
     df: DataFrame, payload: str, fields: T.StructType, lenient: bool = False
 ) -> DataFrame:
-    """Adds the fields of element 0 of a JSON array as text columns."""
-    first = F.get_json_object(repair_quotes(F.col(payload), lenient), "$[0]")
-    return _spread(df, first, fields)
+    """Adds the fields of element 0 of a JSON array as text columns.
+
+    The array is parsed as a whole, which one pass does for all proper payloads.
+    Arrays with elements of another kind come out null; only for those is element
+    0 cut out first and parsed alone. An object in place of the array has none.
+    """
+    text = repair_quotes(F.col(payload), lenient)
+    in_array = F.get(F.from_json(text, T.ArrayType(fields), _JSON_OPTIONS), F.lit(0))
+    alone = F.from_json(F.get_json_object(text, "$[0]"), fields, _JSON_OPTIONS)
+    is_array = F.ltrim(text).startswith("[")
+    return _spread(df, F.coalesce(F.when(is_array, in_array), alone))
 
 
 def spread_object(
     df: DataFrame, payload: str, fields: T.StructType, lenient: bool = False
 ) -> DataFrame:
     """Adds the fields of a JSON object as text columns."""
-    return _spread(df, repair_quotes(F.col(payload), lenient), fields)
+    return _spread(df, F.from_json(repair_quotes(F.col(payload), lenient), fields, _JSON_OPTIONS))

@@ -43,22 +43,32 @@ class GateClosed(RuntimeError):
     """Raised in enforce mode when a layer has failed checks of severity error."""
 
 
-# Failures of single checks
+# Failures of row checks, as SQL aggregates. Text keeps the many small expressions
+# of a check run cheap to build.
 
 
-def null_rows(column: Column) -> Column:
-    """Aggregate: rows where the column is null."""
-    return F.count_if(column.isNull())
+def null_rows(column: str) -> str:
+    return f"count_if(`{column}` IS NULL)"
 
 
-def false_rows(condition: Column) -> Column:
-    """Aggregate: rows where the condition is false; unknown passes."""
-    return F.count_if(~condition)
+def false_rows(column: str, condition: str) -> str:
+    """Rows where the condition is false; unknown passes."""
+    return f"count_if(NOT (`{column}` {condition}))"
 
 
-def unlisted_values(column: Column, accepted: Iterable) -> Column:
-    """Aggregate: distinct values outside the accepted ones; null passes."""
-    return F.count_distinct(F.when(~column.isin(*accepted), column))
+def unlisted_values(column: str, accepted: Iterable) -> str:
+    """Distinct values outside the accepted ones; null passes."""
+    values = ", ".join(_literal(v) for v in accepted)
+    return f"count(DISTINCT CASE WHEN `{column}` NOT IN ({values}) THEN `{column}` END)"
+
+
+def _literal(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
+# Failures of key checks
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
@@ -124,30 +134,24 @@ def _detail(severity: Column, failures: Column) -> Column:
 # Runner
 
 
-def _labels(check: Check) -> list[Column]:
-    return [
-        F.lit(check.model).alias("model_name"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.full_name).alias("full_test_name"),
-        F.lit(check.severity).alias("severity"),
-    ]
-
-
-def _row_check(check: Check) -> Column:
-    column = F.col(check.column)
+def _row_check(check: Check) -> str:
     if check.kind == "not_null":
-        return null_rows(column)
+        return null_rows(check.column)
     if check.kind == "expression_is_true":
-        return false_rows(F.expr(f"`{check.column}` {check.argument}"))
+        return false_rows(check.column, check.argument)
     if check.kind == "accepted_values":
-        return unlisted_values(column, check.argument)
+        return unlisted_values(check.column, check.argument)
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
 def _as_rows(counts: DataFrame, checks: list[Check]) -> DataFrame:
     """One row of counts f0, f1, ... to one labelled row per check."""
-    rows = [F.struct(*_labels(c), F.col(f"f{i}").alias("failures")) for i, c in enumerate(checks)]
-    return counts.select(F.inline(F.array(*rows)))
+    rows = ", ".join(
+        ", ".join(map(_literal, (c.model, c.column, c.full_name, c.severity))) + f", f{i}"
+        for i, c in enumerate(checks)
+    )
+    names = "model_name, column_name, full_test_name, severity, failures"
+    return counts.selectExpr(f"stack({len(checks)}, {rows}) AS ({names})")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -155,16 +159,16 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _row_checks(table: DataFrame, checks: list[Check]) -> DataFrame:
-    counts = table.agg(*[_row_check(c).cast("bigint").alias(f"f{i}") for i, c in enumerate(checks)])
+    counts = table.selectExpr(*[f"{_row_check(c)} AS f{i}" for i, c in enumerate(checks)])
     return _as_rows(counts, checks)
 
 
 def _key_rows(number: int, table: DataFrame, key: str, parent: bool) -> DataFrame:
-    return table.where(F.col(key).isNotNull()).select(
-        F.lit(number).alias("check_no"),
-        F.col(key).cast("string").alias("key"),
-        F.lit(0 if parent else 1).cast("bigint").alias("child_rows"),
-        F.lit(parent).alias("is_parent"),
+    return table.where(f"`{key}` IS NOT NULL").selectExpr(
+        f"{number} AS check_no",
+        f"CAST(`{key}` AS STRING) AS key",
+        f"{0 if parent else 1}L AS child_rows",
+        f"{parent} AS is_parent",
     )
 
 
@@ -187,15 +191,12 @@ def _key_checks(tables: Mapping[str, DataFrame], checks: list[Check]) -> DataFra
         .agg(F.sum("child_rows").alias("n"), F.bool_or("is_parent").alias("known"))
     )
 
-    def failures(number: int, check: Check) -> Column:
-        if check.kind == "unique":
-            failed = F.when(F.col("n") > 1, 1)
-        else:
-            failed = F.when(~F.col("known"), F.col("n"))
-        total = F.sum(F.when(F.col("check_no") == number, failed))
-        return F.coalesce(total, F.lit(0)).cast("bigint").alias(f"f{number}")
+    def failures(number: int, check: Check) -> str:
+        failed = "n > 1 THEN 1" if check.kind == "unique" else "NOT known THEN n"
+        total = f"sum(CASE WHEN check_no = {number} AND {failed} END)"
+        return f"CAST(coalesce({total}, 0) AS BIGINT) AS f{number}"
 
-    return _as_rows(per_key.agg(*[failures(i, c) for i, c in enumerate(checks)]), checks)
+    return _as_rows(per_key.selectExpr(*[failures(i, c) for i, c in enumerate(checks)]), checks)
 
 
 def count_failures(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:

@@ -48,10 +48,11 @@ class Warehouse:
         if self.storage.root is None:
             return self.spark.read.table(self.storage.table_name(layer, model))
         reader = self.spark.read.format(self.storage.fmt)
-        if model == "raw_events":
-            # The schema is fixed, so no file is opened to infer it and ids that
-            # look like numbers stay text.
-            reader = reader.schema(S.EVENT)
+        # Schemas are fixed, so no file is opened to infer them and partition values
+        # that look like numbers stay text.
+        schema = S.EVENT if model == "raw_events" else S.TABLES.get(model)
+        if schema is not None:
+            reader = reader.schema(schema)
         return reader.load(self.storage.path(layer, model))
 
     def exists(self, layer: str, model: str) -> bool:
