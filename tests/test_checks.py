@@ -1,0 +1,153 @@
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from cartlake.operators import checks
+from cartlake.operators.checks import ERROR, WARN, Check
+from cartlake.plans.declared_checks import CHECKS, GOLD_CHECKS, SILVER_CHECKS
+
+
+def failures(tables, *declared):
+    return [r["failures"] for r in checks.count_failures(tables, declared).collect()]
+
+
+def table(spark, *values, schema="k string"):
+    return spark.createDataFrame([(v,) for v in values], schema)
+
+
+def test_declared_counts():
+    assert len(CHECKS) == len(set(CHECKS)) == 62
+    assert (len(SILVER_CHECKS), len(GOLD_CHECKS)) == (39, 23)
+    assert Counter(c.severity for c in CHECKS) == {"error": 46, "warn": 16}
+    assert Counter(c.kind for c in CHECKS) == {
+        "not_null": 42, "unique": 7, "expression_is_true": 5, "accepted_values": 4,
+        "relationships": 4,
+    }
+
+
+def test_unique_counts_keys_not_rows(spark):
+    t = {"t": table(spark, "a", "a", "a", "b", "b", "c", None, None)}
+    assert failures(t, Check("t", "k", "unique")) == [2]
+
+
+def test_not_null_expression_and_accepted_values(spark):
+    t = {"t": table(spark, 1, 0, -1, -1, None, schema="k int")}
+    assert failures(
+        t,
+        Check("t", "k", "not_null"),
+        Check("t", "k", "expression_is_true", argument="> 0"),
+        Check("t", "k", "expression_is_true", argument=">= 0"),
+        Check("t", "k", "accepted_values", argument=(0, 1)),
+    ) == [1, 3, 2, 1]
+
+
+def test_accepted_texts_with_quotes(spark):
+    t = {"t": table(spark, "it's", "b\\c", "x", "x", None)}
+    assert failures(t, Check("t", "k", "accepted_values", argument=("it's", "b\\c"))) == [1]
+
+
+def test_relationships_count_rows(spark):
+    tables = {"t": table(spark, "a", "b", "b", None), "p": table(spark, "a", "a", None)}
+    assert failures(tables, Check("t", "k", "relationships", argument=("p", "k"))) == [2]
+
+
+def test_empty_tables_pass(spark):
+    tables = {"t": table(spark), "p": table(spark)}
+    kinds = [
+        Check("t", "k", "unique"), Check("t", "k", "not_null"),
+        Check("t", "k", "accepted_values", argument=("a",)),
+        Check("t", "k", "relationships", argument=("p", "k")),
+    ]
+    assert failures(tables, *kinds) == [0, 0, 0, 0]
+
+
+def test_unknown_kind_is_refused(spark):
+    with pytest.raises(ValueError):
+        failures({"t": table(spark, "a")}, Check("t", "k", "between"))
+
+
+keys = st.lists(st.one_of(st.none(), st.sampled_from("abcde")), max_size=15)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys, keys)
+def test_key_checks_against_brute_force(spark, child, parent):
+    tables = {"t": table(spark, *child), "p": table(spark, *parent)}
+    seen = Counter(k for k in child if k is not None)
+    fk = Check("t", "k", "relationships", argument=("p", "k"))
+    orphans = sum(n for k, n in seen.items() if k not in parent)
+    assert failures(tables, Check("t", "k", "unique"), fk) == [
+        sum(n > 1 for n in seen.values()), orphans,
+    ]
+    repeated = checks.repeated_keys(tables["t"], "k").collect()
+    assert {r["k"]: r["n_records"] for r in repeated} == {k: n for k, n in seen.items() if n > 1}
+    alone = checks.orphan_keys(tables["t"], "k", tables["p"], "k").collect()
+    assert sum(r["n_records"] for r in alone) == orphans
+
+
+def results(spark, *statuses):
+    tables = {}
+    declared = []
+    for i, (severity, bad) in enumerate(statuses):
+        tables[f"stg_{i}"] = table(spark, *([None] * bad), "x")
+        declared.append(Check(f"stg_{i}", "k", "not_null", severity))
+    return checks.run_checks(tables, declared, "r1")
+
+
+def test_status_and_detail(spark):
+    rows = {
+        r["model_name"]: r
+        for r in results(spark, (ERROR, 0), (ERROR, 1), (WARN, 2), (WARN, 0)).collect()
+    }
+    assert [rows[f"stg_{i}"]["status"] for i in range(4)] == ["pass", "fail", "warn", "pass"]
+    assert rows["stg_0"]["error_detail"] is None
+    assert rows["stg_1"]["error_detail"] == "Got 1 result, configured to fail if != 0"
+    assert rows["stg_2"]["error_detail"] == "Got 2 results, configured to warn if != 0"
+    assert {r["layer"] for r in rows.values()} == {"silver"}
+    assert {r["test_name"] for r in rows.values()} == {"not_null"}
+
+
+def test_gate(spark):
+    open_row = checks.gate(results(spark, (ERROR, 0), (WARN, 3))).head()
+    assert (open_row["checks"], open_row["failed"], open_row["warned"], open_row["open"]) == (2, 0, 1, True)
+    shut = results(spark, (ERROR, 1))
+    assert not checks.gate(shut).head()["open"]
+    checks.enforce(shut, "silver")
+    checks.enforce(shut, "gold", "enforce")
+    with pytest.raises(checks.GateClosed):
+        checks.enforce(shut, "silver", "enforce")
+    with pytest.raises(ValueError):
+        checks.enforce(shut, "silver", "sometimes")
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(0, 2), min_size=1, max_size=3), st.integers(0, 2))
+def test_more_failures_never_open_the_gate(spark, bad, where):
+    worse = list(bad)
+    worse[where % len(bad)] += 1
+    before = checks.gate(results(spark, *[(ERROR, b) for b in bad])).head()["open"]
+    after = checks.gate(results(spark, *[(ERROR, b) for b in worse])).head()["open"]
+    assert before or not after
+
+
+@pytest.mark.parametrize(
+    "name, kind",
+    [
+        ("unique_stg_customers_user_id", "unique"), ("not_null_dim_sellers_seller_id", "not_null"),
+        ("relationships_fct_orders_x", "relationships"), ("source_relationships_a", "relationships"),
+        ("accepted_values_x", "accepted_values"), ("expression_is_true_x", "expression_is_true_x"),
+        ("my_unique_x", "my_unique_x"),
+    ],
+)
+def test_classify_test(spark, name, kind):
+    df = spark.createDataFrame([(name,)], "n string")
+    assert df.select(checks.classify_test(F.col("n"))).head()[0] == kind
+
+
+def test_classify_layer(spark):
+    df = spark.createDataFrame([("stg_a",), ("dim_a",), ("fct_a",), ("raw",)], "n string")
+    assert [r[0] for r in df.select(checks.classify_layer(F.col("n"))).collect()] == [
+        "silver", "gold", "gold", "unknown",
+    ]

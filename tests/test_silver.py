@@ -1,0 +1,190 @@
+from datetime import date, datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.errors import PySparkException
+
+from cartlake import schemas as S
+from cartlake.plans import silver
+from events import events, item
+
+
+def test_raw_events_orders_columns_by_name(spark):
+    shuffled = events(spark, {}).select(*reversed(S.EVENT_COLUMNS))
+    assert silver.raw_events(shuffled).columns == S.EVENT_COLUMNS
+
+
+def customers(spark, *rows, **options):
+    return {r["user_id"]: r for r in silver.stg_customers(events(spark, *rows), **options).collect()}
+
+
+def test_customers_need_both_ids(spark):
+    rows = [{"user_id": ""}, {"user_id": None}, {"customer_id": ""}, {"customer_id": None}]
+    assert customers(spark, *rows) == {}
+
+
+def test_newest_event_wins_with_defaults(spark):
+    old = {"event_id": "a", "customer_city": "Rio", "customer_state": "rj"}
+    new = {"event_id": "b", "timestamp": "2024-01-02T00:00:00+00:00"}
+    row = customers(spark, old, new)["u1"]
+    assert row["customer_city"] == "unknown"
+    assert row["customer_state"] == "un"
+    assert row["customer_zip_code"] == "00000"
+    assert row["customer_latitude"] == row["customer_longitude"] == 0.0
+
+
+def test_equal_times_go_to_the_higher_event_id(spark):
+    rows = [{"event_id": "e1", "customer_city": "A"}, {"event_id": "e2", "customer_city": "B"}]
+    assert customers(spark, *rows)["u1"]["customer_city"] == "B"
+    assert customers(spark, *reversed(rows))["u1"]["customer_city"] == "B"
+
+
+def test_blank_city_stays_and_state_is_upper_case(spark):
+    row = customers(spark, {"customer_city": "", "customer_state": " sp\t"})["u1"]
+    assert row["customer_city"] == ""
+    assert row["customer_state"] == "SP"
+
+
+def test_bad_latitude(spark):
+    bad = {"customer_latitude": "abc"}
+    with pytest.raises(PySparkException):
+        customers(spark, bad)
+    assert customers(spark, bad, on_bad_value="null")["u1"]["customer_latitude"] == 0.0
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(st.sampled_from("abc"), st.integers(1, 9), st.integers(0, 99)),
+        min_size=1, max_size=30, unique_by=lambda r: r[2],
+    )
+)
+def test_one_row_per_user_and_it_is_the_newest(spark, rows):
+    made = [
+        {"user_id": u, "timestamp": f"2024-01-0{d}T00:00:00+00:00", "event_id": f"{e:03}",
+         "customer_city": f"{d}-{e}"}
+        for u, d, e in rows
+    ]
+    expected = {u: max((d, e) for v, d, e in rows if v == u) for u in {r[0] for r in rows}}
+    actual = customers(spark, *made)
+    assert {u: r["customer_city"] for u, r in actual.items()} == {
+        u: f"{d}-{e}" for u, (d, e) in expected.items()
+    }
+
+
+def items(spark, *payloads, **options):
+    rows = [{"event_id": str(i), "payload_items": p} for i, p in enumerate(payloads)]
+    return silver.stg_order_items(events(spark, *rows), **options).collect()
+
+
+@pytest.mark.parametrize(
+    "payload",
+    [
+        item(price=0), item(price=None), item(price=-1), item(freight_value=-0.5),
+        item(freight_value=None), "[]", "x", None, item(seller_city="d'agua"), "[{'price': None}]",
+    ],
+)
+def test_items_dropped(spark, payload):
+    assert items(spark, payload) == []
+
+
+def test_item_fields(spark):
+    row = items(spark, item(freight_value=0, seller_state="sp", product_category_name=None))[0]
+    assert (row["product_price"], row["freight_value"], row["total_item_cost"]) == (10.0, 0.0, 10.0)
+    assert row["product_category_name"] == "unassigned"
+    assert row["seller_state"] == "SP"
+    assert row["product_weight_g"] == 0.0
+    assert row["seller_zip_code"] is None
+    assert row["created_at"] == datetime(2024, 1, 1)
+
+
+def test_only_the_first_item_counts(spark):
+    two = item()[:-1] + ", " + item(product_id="p2")[1:]
+    assert [r["product_id"] for r in items(spark, two)] == ["p1"]
+
+
+def test_lenient_keeps_apostrophes(spark):
+    row = items(spark, item(seller_city="d'agua"), lenient=True)[0]
+    assert row["seller_city"] == "d'agua"
+
+
+def test_other_event_types_carry_no_items(spark):
+    df = events(spark, {"event_type": "order.delivered", "payload_items": item()})
+    assert silver.stg_order_items(df).count() == 0
+
+
+def test_bad_price_fails_or_drops(spark):
+    with pytest.raises(PySparkException):
+        items(spark, item(price="ten"))
+    assert items(spark, item(price="ten"), on_bad_value="null") == []
+
+
+def payments(spark, *payloads):
+    rows = [
+        {"event_type": "payment.processed", "event_id": str(i), "payload_payments": p}
+        for i, p in enumerate(payloads)
+    ]
+    return silver.stg_order_payments(events(spark, *rows)).collect()
+
+
+def test_payment_defaults(spark):
+    full, bare = sorted(
+        payments(
+            spark,
+            '[{"payment_type": " Credit_Card ", "payment_installments": 3, "payment_value": 5}]',
+            '[{"payment_value": 7.5}]',
+        ),
+        key=lambda r: r["payment_value"],
+    )
+    assert (full["payment_type"], full["payment_installments"]) == ("credit_card", 3)
+    assert (bare["payment_type"], bare["payment_installments"]) == ("not_defined", 1)
+    assert payments(spark, '[{"payment_value": 0}]', '[{"payment_type": "x"}]', "[]") == []
+
+
+def test_review_scores_and_texts(spark):
+    rows = [
+        {"event_type": "order.reviewed", "event_id": str(s),
+         "payload_review": f'{{"review_score": {s}, "review_comment_title": "\\tx \\n"}}'}
+        for s in ("0", "1", "5", "6", "null")
+    ]
+    kept = silver.stg_order_reviews(events(spark, *rows)).collect()
+    assert sorted(r["review_score"] for r in kept) == [1, 5]
+    assert {r["review_comment_title"] for r in kept} == {"x"}
+
+
+def test_status_history(spark):
+    rows = [
+        {"order_status": " Shipped\n", "estimated_delivery_date": "2024-02-01 10:00:00",
+         "actual_delivery_date": "2024-02-02 11:00:00"},
+        {"order_status": "created", "order_id": "o2", "metadata_os": "ios",
+         "estimated_delivery_date": "", "actual_delivery_date": "x"},
+        {"order_status": ""}, {"order_status": None},
+        {"order_status": "created", "order_id": ""},
+    ]
+    got = {r["order_id"]: r for r in silver.stg_order_status_history(events(spark, *rows)).collect()}
+    assert set(got) == {"o1", "o2"}
+    assert got["o1"]["order_status"] == "shipped"
+    assert got["o1"]["estimated_delivery_date"] == date(2024, 2, 1)
+    assert got["o1"]["actual_delivery_date"] == datetime(2024, 2, 2, 11)
+    assert got["o2"]["estimated_delivery_date"] is got["o2"]["actual_delivery_date"] is None
+    assert (got["o2"]["metadata_device"], got["o2"]["metadata_os"]) == ("unknown", "ios")
+
+
+def test_payload_losses_counts_what_models_drop(spark):
+    df = events(
+        spark,
+        {"event_id": "1", "payload_items": item()},
+        {"event_id": "2", "payload_items": item(price=0)},
+        {"event_id": "3", "payload_items": "x"},
+        {"event_id": "4", "event_type": "payment.processed", "payload_payments": "[{'payment_value': 1}]"},
+    )
+    rows = {r["event_type"]: tuple(r)[1:] for r in silver.payload_losses(df).collect()}
+    assert rows == {"order.created": (3, 1, 2), "payment.processed": (1, 1, 0)}
+
+
+def test_schemas_are_as_declared(spark):
+    df = events(spark, {})
+    for model, build in silver.SILVER.items():
+        assert build(df).schema.simpleString() == spark.createDataFrame(
+            [], S.TABLES[model]
+        ).schema.simpleString(), model
