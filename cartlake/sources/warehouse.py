@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartlake import schemas as S
 from cartlake.config import BRONZE, LAYERS, Storage
 
 
+_ATOMIC_FORMATS = ("iceberg", "delta")
+_ASIDE = "__new"
+
+
 class MissingTables(RuntimeError):
     pass
 
@@ -82,14 +86,42 @@ class Warehouse:
         return writer.partitionBy(*partition_by) if partition_by else writer
 
     def replace(self, layer: str, model: str, df: DataFrame, partition_by=()) -> DataFrame:
-        """Full refresh of a table; returns the stored table."""
-        writer = self._writer(df, "overwrite", partition_by)
-        if self.storage.root is None:
-            writer.saveAsTable(self.storage.table_name(layer, model))
+        """Full refresh of a table; returns the stored table.
+
+        The new table is written aside and takes the name only when complete, so a
+        failed refresh leaves the old table as it was. (Partitioned catalog tables of
+        plain file formats are the exception; no model writes one.)
+        """
+        if self.storage.root is not None:
+            target = self.storage.path(layer, model)
+            aside = self.storage.path(layer, f"{model}{_ASIDE}")
+            self._writer(df, "overwrite", partition_by).save(aside)
+            self._move_folder(aside, target)
+            return self.read(layer, model)
+        target = self.storage.table_name(layer, model)
+        if self.storage.fmt in _ATOMIC_FORMATS:
+            writer = df.writeTo(target).using(self.storage.fmt).options(**self.storage.write_options)
+            if partition_by:
+                writer = writer.partitionedBy(*[F.col(c) for c in partition_by])
+            writer.createOrReplace()
+        elif partition_by:
+            # Renaming does not move the partitions of a plain catalog table.
+            self._writer(df, "overwrite", partition_by).saveAsTable(target)
         else:
-            writer.save(self.storage.path(layer, model))
+            aside = f"{target}{_ASIDE}"
+            self._writer(df, "overwrite", partition_by).saveAsTable(aside)
+            self.spark.sql(f"DROP TABLE IF EXISTS {target}")
+            self.spark.sql(f"ALTER TABLE {aside} RENAME TO {target}")
         return self.read(layer, model)
 
+    def _move_folder(self, source: str, target: str) -> None:
+        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path
+        new, old = fs_path(source), fs_path(target)
+        fs = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.delete(old, True)
+        if not fs.rename(new, old):
+            raise OSError(f"cannot move {source} to {target}")
+
     def append(self, layer: str, model: str, df: DataFrame, partition_by=()) -> None:
         writer = self._writer(df, "append", partition_by)
         if self.storage.root is None:
