@@ -7,13 +7,16 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # ANSI casts make bad numbers fail the job, UTC makes text timestamps portable,
-# AQE coalesces small partitions and splits skewed join partitions.
+# AQE coalesces small partitions and splits skewed join partitions. A task meets a
+# handful of event types, so it keeps one file open for each and skips the sort of
+# wide rows that a partitioned write would need.
 REQUIRED_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 

@@ -67,10 +67,6 @@ def _text(*pieces) -> Column:
     )
 
 
-def _quoted(*pieces) -> Column:
-    return F.replace(_text(*pieces), F.lit("~"), F.lit("'"))
-
-
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """All events of all orders, twenty text columns."""
     c = F.col
@@ -106,19 +102,19 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
         .when(delivered, sh)
         .otherwise(sh + days(1))
     )
-    category = F.when(pk % 10 == 0, F.lit("null")).otherwise(_text("~", c("p_type"), "~"))
+    category = F.when(pk % 10 == 0, F.lit("null")).otherwise(_text("'", c("p_type"), "'"))
     price = F.when(k % 97 == 0, F.lit("0.0")).otherwise(c("l_extendedprice").cast("string"))
     weight = F.when(pk % 9 == 0, F.lit("")).otherwise(
-        _text(", ~product_weight_g~: ", c("p_size"))
+        _text(", 'product_weight_g': ", c("p_size"))
     )
-    items = _quoted(
-        "[{~product_id~: ~", pk, "~, ~product_category_name~: ", category,
-        ", ~price~: ", price,
-        ", ~freight_value~: ", F.round(c("l_tax") * 100).cast("int"), ".25",
-        ", ~seller_id~: ~", sk, "~, ~seller_city~: ~", c("s_city"),
-        "~, ~seller_state~: ~n", sn,
-        "~, ~seller_zip_code~: ~", F.lpad(sk.cast("string"), 5, "0"),
-        "~, ~seller_latitude~: -", sn, ".5, ~seller_longitude~: ", sn, ".25", weight, "}]",
+    items = _text(
+        "[{'product_id': '", pk, "', 'product_category_name': ", category,
+        ", 'price': ", price,
+        ", 'freight_value': ", F.round(c("l_tax") * 100).cast("int"), ".25",
+        ", 'seller_id': '", sk, "', 'seller_city': '", c("s_city"),
+        "', 'seller_state': 'n", sn,
+        "', 'seller_zip_code': '", F.lpad(sk.cast("string"), 5, "0"),
+        "', 'seller_latitude': -", sn, ".5, 'seller_longitude': ", sn, ".25", weight, "}]",
     )
     method = (
         F.when(k % 4 == 0, F.lit(" Credit_Card "))
@@ -127,19 +123,19 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.lit(" pix "))
     )
     amount = F.when(k % 13 == 0, F.lit("0.0")).otherwise(c("o_totalprice").cast("string"))
-    payment = _quoted(
-        "[{~payment_type~: ~", method, "~, ~payment_installments~: ", k % 10 + 1,
-        ", ~payment_value~: ", amount, "}]",
+    payment = _text(
+        "[{'payment_type': '", method, "', 'payment_installments': ", k % 10 + 1,
+        ", 'payment_value': ", amount, "}]",
     )
-    voucher_payment = _quoted("[{~payment_type~: ~voucher~, ~payment_value~: 10.5}]")
+    voucher_payment = _text("[{'payment_type': 'voucher', 'payment_value': 10.5}]")
     message = (
-        F.when(k % 21 == 0, F.lit("~it~s late~"))
+        F.when(k % 21 == 0, F.lit("'it's late'"))
         .when(k % 2 == 0, F.lit("null"))
-        .otherwise(F.lit("~ok ~"))
+        .otherwise(F.lit("'ok '"))
     )
-    review = _quoted(
-        "{~review_id~: ~rv", k, "~, ~review_score~: ", k % 7,
-        ", ~review_comment_title~: ~ t", k, " ~, ~review_comment_message~: ", message, "}",
+    review = _text(
+        "{'review_id': 'rv", k, "', 'review_score': ", k % 7,
+        ", 'review_comment_title': ' t", k, " ', 'review_comment_message': ", message, "}",
     )
     columns = {
         "event_id": _text(kind, k),
