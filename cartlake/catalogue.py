@@ -64,7 +64,7 @@ def bronze(spark: SparkSession, folder: str) -> DataFrame:
     lake = warehouse(spark, folder)
 
     def land(_):
-        lake.replace(BRONZE, "raw_events", derived.events(spark, folder), [S.EVENT_PARTITION])
+        lake.append(BRONZE, "raw_events", derived.events(spark, folder), [S.EVENT_PARTITION])
 
     _once(spark, folder, "bronze", land)
     return lake.read(BRONZE, "raw_events")

@@ -60,6 +60,9 @@ class Warehouse:
         return reader.load(self.storage.path(layer, model))
 
     def exists(self, layer: str, model: str) -> bool:
+        if self.storage.root is not None:
+            path, fs = self._folder(self.storage.path(layer, model))
+            return fs.exists(path)
         try:
             self.read(layer, model)
         except AnalysisException:
@@ -93,10 +96,7 @@ class Warehouse:
         plain file formats are the exception; no model writes one.)
         """
         if self.storage.root is not None:
-            target = self.storage.path(layer, model)
-            aside = self.storage.path(layer, f"{model}{_ASIDE}")
-            self._writer(df, "overwrite", partition_by).save(aside)
-            self._move_folder(aside, target)
+            self._replace_folder(layer, model, df, partition_by)
             return self.read(layer, model)
         target = self.storage.table_name(layer, model)
         if self.storage.fmt in _ATOMIC_FORMATS:
@@ -114,13 +114,29 @@ class Warehouse:
             self.spark.sql(f"ALTER TABLE {aside} RENAME TO {target}")
         return self.read(layer, model)
 
-    def _move_folder(self, source: str, target: str) -> None:
-        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path
-        new, old = fs_path(source), fs_path(target)
-        fs = old.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        fs.delete(old, True)
-        if not fs.rename(new, old):
-            raise OSError(f"cannot move {source} to {target}")
+    def _folder(self, path: str):
+        """Hadoop path and the file system it is on."""
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop_path, hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _replace_folder(self, layer: str, model: str, df: DataFrame, partition_by) -> None:
+        """A first build is written in place and removed again if it fails. A rebuild is
+        renamed into place, which object stores do by copying: use a table format there.
+        """
+        path = self.storage.path(layer, model)
+        target, fs = self._folder(path)
+        if not fs.exists(target):
+            try:
+                self._writer(df, "overwrite", partition_by).save(path)
+            except Exception:
+                fs.delete(target, True)
+                raise
+            return
+        aside_path = f"{path}{_ASIDE}"
+        self._writer(df, "overwrite", partition_by).save(aside_path)
+        fs.delete(target, True)
+        if not fs.rename(self._folder(aside_path)[0], target):
+            raise OSError(f"cannot move {aside_path} to {path}")
 
     def append(self, layer: str, model: str, df: DataFrame, partition_by=()) -> None:
         writer = self._writer(df, "append", partition_by)
