@@ -167,10 +167,9 @@ def q_orders_without_review(spark, folder):
 # Monitoring
 
 
-def _history(spark, folder) -> DataFrame:
+def _history(counts: DataFrame) -> DataFrame:
     """Earlier snapshots, derived from today's counts: ten days of growth at a
     different pace per table, and none for one table."""
-    counts = monitor.count_rows(stored_layers(spark, folder))
     days = counts.withColumn("back", F.explode(F.array(*[F.lit(n) for n in range(1, 11)])))
     pace = F.length("table_name") % 8
     shrunk = F.floor(F.col("record_count") * (100 - F.col("back") * pace) / 100)
@@ -183,7 +182,7 @@ def _history(spark, folder) -> DataFrame:
 
 def _snapshot(spark, folder) -> DataFrame:
     counts = monitor.count_rows(stored_layers(spark, folder))
-    return monitor.volume_snapshot(counts, _history(spark, folder), AS_OF, RUN_ID)
+    return monitor.volume_snapshot(counts, _history(counts), AS_OF, RUN_ID)
 
 
 def _freshness(spark, folder) -> DataFrame:
@@ -203,7 +202,8 @@ def q_volume_anomaly(spark, folder):
 
 
 def q_mean_counts(spark, folder):
-    return monitor.mean_counts(_history(spark, folder), AS_OF)
+    counts = monitor.count_rows(stored_layers(spark, folder))
+    return monitor.mean_counts(_history(counts), AS_OF)
 
 
 def q_health(spark, folder):

@@ -68,10 +68,8 @@ def unreadable_freshness(
 def count_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of every table in one job: table_name, record_count, count_error."""
     parts = [
-        df.agg(F.count(F.lit(1)).alias("record_count")).select(
-            F.lit(name).alias("table_name"),
-            "record_count",
-            F.lit(None).cast("string").alias("count_error"),
+        df.selectExpr("count(*) AS record_count").selectExpr(
+            f"'{name}' AS table_name", "record_count", "CAST(NULL AS STRING) AS count_error"
         )
         for name, df in tables.items()
     ]
@@ -106,11 +104,16 @@ def count_rows_isolated(spark: SparkSession, tables: Mapping[str, object]) -> Da
 
 
 def mean_counts(
-    history: DataFrame, as_of: datetime | str, limits: MonitorLimits = MonitorLimits()
+    history: DataFrame,
+    as_of: datetime | str,
+    limits: MonitorLimits = MonitorLimits(),
+    tables: list[str] | None = None,
 ) -> DataFrame:
-    """Mean record count per table over the days before the run."""
+    """Mean record count per table over the days before the run, for some or all tables."""
     since = instant(as_of) - F.make_dt_interval(days=F.lit(limits.history_days))
     recent = history.where(F.col("snapshot_hour") >= since)
+    if tables is not None:
+        recent = recent.where(F.col("table_name").isin(tables))
     return recent.groupBy("table_name").agg(F.avg("record_count").alias("mean_count"))
 
 

@@ -72,6 +72,15 @@ def test_history_of_seven_days_counts(spark):
     assert (row["mean_count"], float(row["pct_change_vs_avg"])) == (15.0, 0.0)
 
 
+def test_means_of_chosen_tables(spark):
+    history = spark.createDataFrame(
+        [("stg_a", 10, NOW), ("stg_b", 20, NOW)],
+        "table_name string, record_count bigint, snapshot_hour timestamp",
+    )
+    rows = monitor.mean_counts(history, NOW, tables=["stg_b"]).collect()
+    assert [tuple(r) for r in rows] == [("stg_b", 20.0)]
+
+
 def verdict(spark, *, age, odd):
     newest = (NOW - timedelta(minutes=age)).isoformat() + "+00:00"
     fresh_rows = monitor.freshness(events(spark, {"timestamp": newest}), NOW, "r1")
