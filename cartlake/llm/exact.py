@@ -42,6 +42,8 @@ def keyed_state(prints: DataFrame, files_per_batch: int = 10_000) -> DataFrame:
     (path,) = source
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # Many small stores must not preallocate log files of megabytes each.
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     stream = spark.readStream.schema(prints.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
     state = stream.groupBy("digest").agg(
         F.count("*").alias("n"), F.max(F.struct("doc_id", "locator")).alias("keep")
