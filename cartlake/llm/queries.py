@@ -6,18 +6,51 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartlake.llm import exact, minhash
+from cartlake.llm import chat, decontaminate, exact, langid, licenses, minhash, passages, pieces, quality, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with the benchmark items they hold."""
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Paragraphs that recur, with their component and whether they go."""
+    return passages.repeated_paragraphs(table(spark, folder, "documents"))
+
+
+def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """Maximal conversations in the chat format."""
+    return chat.format_chats(table(spark, folder, "conversations"))
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "documents"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, folder, "documents"), k=2, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = warc.write(table(spark, folder, "pages"))
+    return warc.read(archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with the licenses they declare."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact.exact_groups(table(spark, folder, "documents"))
     return found.select(
@@ -29,12 +62,63 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text's piece ids, and the text decoded from them compared with the given one."""
+    vocabulary = pieces.load()
+    encoded = pieces.encode(table(spark, folder, "documents"), vocabulary)
+    decoded = pieces.decode(encoded, vocabulary)
+    return decoded.select("doc_id", "ids", F.size("ids").alias("n_ids"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_chat_formatting": op3_chat_formatting,
+    "op4_language_id": op4_language_id,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_warc": op7_warc,
+    "op8_license_scan": op8_license_scan,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_chat_formatting": """
+        WITH said AS (
+            SELECT conv_id, turn, role, text,
+                   row_number() OVER o AS n,
+                   count(*) OVER (PARTITION BY conv_id) AS total,
+                   string_agg(coalesce(role, '~') || chr(1) || coalesce(text, '~') || chr(2), '') OVER o AS upto
+            FROM conversations
+            WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)
+        ), whole AS (
+            SELECT min(conv_id) AS conv_id, upto FROM said WHERE n = total GROUP BY upto
+        ), kept AS (
+            SELECT conv_id FROM whole
+            WHERE NOT EXISTS (SELECT 1 FROM said WHERE said.n < said.total AND said.upto = whole.upto)
+        )
+        SELECT conv_id,
+               CAST(floor(coalesce(turn, -1) / 1024) AS BIGINT) AS chunk,
+               count(*) AS n_turns,
+               string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || '<|end|>' || chr(10), ''
+                          ORDER BY turn, role, text) AS text
+        FROM conversations WHERE conv_id IN (SELECT conv_id FROM kept)
+        GROUP BY 1, 2
+    """,
+    "op7_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), r AS (
+            SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+                   min(page_id) OVER (PARTITION BY payload) AS first_id
+            FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes < 100 OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN payload_bytes < 100 OR page_id = first_id THEN NULL ELSE first_id END AS refers_to
+        FROM r
+    """,
     "op9_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER g AS keep_id,

@@ -1,31 +1,61 @@
-"""The corpus pipeline: quality, exact dedup, near-dedup, decontamination, pieces."""
+"""The corpus pipeline: quality, exact dedup, near-dedup, decontamination, pieces.
+
+Each stage works on all rows its predecessor kept; between stages the rows are written as
+Parquet and read again. All stages but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartlake.llm import exact, minhash
+from cartlake.llm import decontaminate, exact, minhash, pieces, quality
 from cartlake.llm.common import land
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts."""
+    return quality.keep_good(docs, _table(spark, sf_dir, "labels"))
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, the one with the largest doc_id."""
     return exact.exact_dedup(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8)."""
     return minhash.near_dedup(docs)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return decontaminate.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, ids, text): piece ids of every document, and the text they decode to."""
+    vocabulary = pieces.load()
+    return pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+
+
 STAGES = [
+    ("quality_classifier", quality_stage),
     ("exact_dedup", exact_stage),
     ("minhash_near_dedup", near_stage),
+    ("benchmark_decontamination", decontamination_stage),
+    ("sentencepiece", pieces_stage),
 ]
 
+#: The classifier cannot be expressed in SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
