@@ -12,22 +12,20 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cartlake.llm.common import land, small_batches
-from cartlake.llm.words import alike, exact_shingles
+from cartlake.llm.common import bounded, land, small_batches
+from cartlake.llm.words import alike, exact_shingles, few_edits, split_words
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """(bucket, node) rows of the buckets that hold two different nodes at least, landed.
+    """(bucket, node) rows of the buckets that hold two different nodes at least, landed and distinct.
 
     Counting combines on the map side and the join back is a plain one that adaptive
     execution splits, so one bucket may hold any share of the rows. When few buckets are
     shared, the counted list is broadcast instead.
     """
-    from cartlake.llm.common import bounded
-
     ends = rows.groupBy("bucket").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi"))
     several = land(ends.where("_lo <> _hi").select("bucket"), "buckets")
-    return land(rows.join(bounded(several), "bucket", "left_semi"), "members")
+    return land(rows.join(bounded(several), "bucket", "left_semi").distinct(), "members")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -48,7 +46,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = land(large.distinct(), "edges")
+        large = large.distinct()
         root = large.groupBy("u").agg(F.min("v").alias("v"))
         small = large.join(root.withColumnRenamed("v", "m"), "u").where("v <> m")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -58,18 +56,30 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def _check(k: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def shingles_alike(k: int, percent: int) -> tuple[Callable, Callable]:
+    """Exact Jaccard similarity of k-word shingle sets, as (prepare, compare)."""
+    return (lambda text: exact_shingles(text, k)), (lambda a, b: alike(a, b, percent))
+
+
+def words_alike(percent: int) -> tuple[Callable, Callable]:
+    """Exact word edit distance, as (prepare, compare)."""
+    return split_words, (lambda a, b: few_edits(a, b, percent))
+
+
+def _check(test: tuple[Callable, Callable]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    prepare, compare = test
+
     def run(batches):
-        last = last_set = None
+        last = ready = None
         for batch in batches:
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             texts_a, texts_b = batch.column("text_a"), batch.column("text_b")
-            ok = []
+            keep = []
             for i, node in enumerate(a):
                 if node != last:
-                    last, last_set = node, exact_shingles(texts_a[i].as_py(), k)
-                ok.append(alike(last_set, exact_shingles(texts_b[i].as_py(), k), percent))
-            keep = [i for i, x in enumerate(ok) if x]
+                    last, ready = node, prepare(texts_a[i].as_py())
+                if compare(ready, prepare(texts_b[i].as_py())):
+                    keep.append(i)
             yield pa.RecordBatch.from_pydict(
                 {"a": pa.array([a[i] for i in keep], pa.int64()), "b": pa.array([b[i] for i in keep], pa.int64())}
             )
@@ -77,21 +87,21 @@ def _check(k: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     return run
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are alike. texts: (node, text) with UTF-8 bytes, one row a node."""
+def confirmed(pairs: DataFrame, texts: DataFrame, test: tuple[Callable, Callable]) -> DataFrame:
+    """The pairs (a, b) whose full texts pass the test. texts: (node, text) with UTF-8 bytes, one row a node."""
     small_batches(pairs.sparkSession)
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     # Joined on the member first: leaders repeat, so their texts travel once a pair either way.
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(_check(k, percent), "a long, b long")
+    return both.mapInArrow(_check(test), "a long, b long")
 
 
 def _pairs(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def linked(members: DataFrame, texts: DataFrame, k: int, percent: int, rounds: int = 3) -> DataFrame:
+def linked(members: DataFrame, texts: DataFrame, test: tuple[Callable, Callable], rounds: int = 2) -> DataFrame:
     """(node, root) of the components that confirmed links form within buckets.
 
     members: landed (bucket, node) rows, texts: landed (node, text). Round one compares each
@@ -128,7 +138,7 @@ def linked(members: DataFrame, texts: DataFrame, k: int, percent: int, rounds: i
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = land(pairs, "pairs")
-        new = land(confirmed(pairs, texts, k, percent), "links")
+        new = land(confirmed(pairs, texts, test), "links")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
         roots = land(components(links), "roots")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cartlake.llm.common import bounded, chunked, land, per_batch, small_batches, text_hash, texts_of
-from cartlake.llm.links import linked, shared_buckets
+from cartlake.llm.links import linked, shared_buckets, shingles_alike
 from cartlake.llm.words import document_words, mix, shingle_hashes, shingle_set
 
 SHINGLE = 5
@@ -96,7 +96,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     found = found.mapInArrow(_sketcher(k, False), "doc_id long, th long, n long, k1 long, k2 long, text binary")
     texts = found.join(bounded(needed.select("k1", "k2", "node")), ["k1", "k2"]).select("node", "text")
     texts = land(texts.dropDuplicates(["node"]), "texts")
-    roots = linked(members, texts, k, percent)
+    roots = linked(members, texts, shingles_alike(k, percent))
 
     best = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     head = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("f")

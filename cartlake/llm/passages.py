@@ -8,7 +8,8 @@ holds several whole ones.
 
 Paragraphs of equal words are one class. Classes that share a MinHash band over five-word
 shingles (three bands of one value: over 99 of 100 pairs of similarity 0.8 meet) are compared
-with a leader, confirmed on their exact Jaccard similarity, and joined to components. In each
+with a leader, confirmed by their exact word edit distance (20 % of the longer at most), and
+joined to components. In each
 component the first paragraph stays and the others go, if they are part of a run of at least
 `MIN_WORDS` repeated words of their document.
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cartlake.llm.common import bounded, chunked, land, per_batch, small_batches, text_hash, texts_of
-from cartlake.llm.links import linked, shared_buckets
+from cartlake.llm.links import linked, shared_buckets, words_alike
 from cartlake.llm.words import document_words, mix, shingle_hashes, span_hashes
 
 REACH = 6
@@ -118,7 +119,7 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, min_words: int
     texts = given.mapInArrow(_paragraphs(True), "k1 long, k2 long, text binary")
     texts = texts.join(bounded(needed), "k1", "left_semi").groupBy("k1").agg(F.min("text").alias("text"))
     texts = land(texts.select(F.col("k1").alias("node"), "text"), "texts")
-    roots = linked(members.distinct(), texts, SHINGLE, percent)
+    roots = linked(members, texts, words_alike(percent))
 
     # Classes that recur, alone or through links, with the component each belongs to.
     known = same.select("k1").union(roots.select("node")).distinct()

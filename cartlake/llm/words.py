@@ -87,7 +87,7 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 
 def exact_shingles(text: bytes, k: int) -> set[tuple[bytes, ...]]:
     """The shingle set as the words themselves, for exact checks."""
-    words = [w for w in text.translate(_LOWER).translate(bytes.maketrans(_SPACES, b" " * 6)).split(b" ") if w]
+    words = split_words(text)
     if len(words) < k:
         return {tuple(words)} if words else set()
     return set(zip(*(words[j:] for j in range(k))))
@@ -99,3 +99,35 @@ def alike(a: set, b: set, percent: int) -> bool:
         return False
     shared = len(a & b)
     return 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
+def split_words(text: bytes) -> list[bytes]:
+    return [w for w in text.translate(_LOWER).translate(bytes.maketrans(_SPACES, b" " * 6)).split(b" ") if w]
+
+
+def few_edits(a: list[bytes], b: list[bytes], percent: int) -> bool:
+    """Whether the word edit distance is at most (100 - percent) % of the longer sequence; empty ones are like nothing."""
+    most = (100 - percent) * max(len(a), len(b)) // 100
+    if not a or not b or abs(len(a) - len(b)) > most:
+        return False
+    begin = 0
+    while begin < min(len(a), len(b)) and a[begin] == b[begin]:
+        begin += 1
+    a, b = a[begin:], b[begin:]
+    while a and b and a[-1] == b[-1]:
+        a, b = a[:-1], b[:-1]
+    if not a or not b:
+        return max(len(a), len(b)) <= most
+    masks: dict[bytes, int] = {}
+    for i, w in enumerate(a):
+        masks[w] = masks.get(w, 0) | 1 << i
+    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    plus, minus, score = full, 0, len(a)
+    for w in b:
+        eq = masks.get(w, 0)
+        zero = (((eq & plus) + plus) ^ plus) | eq | minus
+        up, down = minus | (full & ~(zero | plus)), plus & zero
+        score += bool(up & top) - bool(down & top)
+        up, down = (up << 1 | 1) & full, (down << 1) & full
+        plus, minus = down | (full & ~(zero | up)), up & zero
+    return score <= most
