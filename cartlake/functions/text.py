@@ -21,10 +21,6 @@ def present(text: Column) -> Column:
     return text.isNotNull() & (text != "")
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
-
-
 def or_default(value: Column, default) -> Column:
     """Replaces null only; an empty text stays as it is."""
     return F.coalesce(value, F.lit(default))
@@ -37,8 +33,3 @@ def hash_key(text: Column) -> Column:
 
 def cut(text: Column, length: int = 2000) -> Column:
     return F.left(text, F.lit(length))
-
-
-def dotted_part(text: Column, position: int) -> Column:
-    """The n-th part of a dotted name, counted from one; null beyond the end."""
-    return F.try_element_at(F.split(text, r"\."), F.lit(position))

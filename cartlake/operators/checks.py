@@ -242,7 +242,7 @@ def to_log(results: DataFrame) -> DataFrame:
     """Results in the columns of the check log."""
     return results.select(
         "run_id", "layer", "model_name", "test_name", "status",
-        F.col("failure_count").cast("int").alias("failure_count"),
+        F.col("failure_count").cast("bigint").alias("failure_count"),
         "error_detail", "tested_at",
     )
 

@@ -7,7 +7,6 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from cartlake import schemas as S
-from cartlake.functions.text import cut
 
 
 class ExportFailed(RuntimeError):
@@ -15,12 +14,13 @@ class ExportFailed(RuntimeError):
 
 
 def jdbc_sink(
-    url: str, properties: Mapping[str, str], schema: str = "dw", max_connections: int = 16,
+    url: str, properties: Mapping[str, str], schema: str = "dw", max_connections: int | None = None,
     batch_size: int = 10000, keep_table: bool = False,
 ) -> Callable[[DataFrame, str], str]:
     """Overwrites `schema.table` over JDBC.
 
-    Each write task holds one connection, so their number is bounded.
+    Each write task holds one connection. `max_connections` bounds their number, and with it
+    the tasks of the scan and write; by default both are as many as the table has partitions.
     `keep_table` empties the target instead of dropping it.
     """
 
@@ -28,10 +28,11 @@ def jdbc_sink(
         target = f"{schema}.{table}"
         options = {
             **properties,
-            "numPartitions": str(max_connections),
             "batchsize": str(batch_size),
             "truncate": str(keep_table).lower(),
         }
+        if max_connections is not None:
+            options["numPartitions"] = str(max_connections)
         df.write.jdbc(url=url, table=target, mode="overwrite", properties=options)
         return target
 
@@ -67,8 +68,7 @@ def export_tables(
             report.append((name, target, int(seen.get["n"]), "ok", None))
         except Exception as error:
             report.append((name, None, None, "failed", str(error)))
-    result = spark.createDataFrame(report, S.EXPORT_REPORT)
-    return result.withColumn("error", cut(F.col("error")))
+    return spark.createDataFrame(report, S.EXPORT_REPORT)
 
 
 def raise_on_failure(report: DataFrame) -> None:

@@ -18,7 +18,8 @@ from cartlake.functions.typing import age_minutes, floor_to_minutes, percent_cha
 def instant(as_of: datetime | str) -> Column:
     """Run time as an instant; text and naive times count as UTC."""
     text = as_of.isoformat(sep=" ") if isinstance(as_of, datetime) else as_of
-    zoned = text if text.endswith("Z") or "+" in text[10:] else f"{text}Z"
+    clock = text[10:]
+    zoned = text if text.endswith("Z") or "+" in clock or "-" in clock else f"{text}Z"
     return F.to_timestamp(F.lit(zoned))
 
 
@@ -163,7 +164,7 @@ def layer_column(table_name: Column) -> Column:
 def to_volume_log(snapshot: DataFrame) -> DataFrame:
     return snapshot.select(
         "run_id", "layer", "table_name", "record_count", "snapshot_hour",
-        F.col("pct_change_vs_avg").try_cast("decimal(8,2)").alias("pct_change_vs_avg"),
+        F.col("pct_change_vs_avg").cast("decimal(18,2)").alias("pct_change_vs_avg"),
         "is_anomaly", "created_at",
     )
 

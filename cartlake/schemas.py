@@ -85,11 +85,11 @@ TABLES = {
     ),
     "dq_gate_log": (
         "run_id string, layer string, model_name string, test_name string, status string, "
-        "failure_count int, error_detail string, tested_at timestamp"
+        "failure_count bigint, error_detail string, tested_at timestamp"
     ),
     "volume_snapshot_log": (
         "run_id string, layer string, table_name string, record_count bigint, "
-        "snapshot_hour timestamp, pct_change_vs_avg decimal(8,2), is_anomaly boolean, "
+        "snapshot_hour timestamp, pct_change_vs_avg decimal(18,2), is_anomaly boolean, "
         "created_at timestamp"
     ),
     "freshness_log": (

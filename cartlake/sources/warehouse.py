@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -9,8 +11,9 @@ from cartlake import schemas as S
 from cartlake.config import BRONZE, LAYERS, Storage
 
 
-_ATOMIC_FORMATS = ("iceberg", "delta")
+TRANSACTIONAL = ("iceberg", "delta")
 _ASIDE = "__new"
+LOAD = "load"  # partition of event folders that names the load a row came with
 
 
 class MissingTables(RuntimeError):
@@ -57,7 +60,12 @@ class Warehouse:
         schema = S.EVENT if model == "raw_events" else S.TABLES.get(model)
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.load(self.storage.path(layer, model))
+        rows = reader.load(self.storage.path(layer, model))
+        return rows.drop(LOAD) if self.loads(model) else rows
+
+    def loads(self, model: str) -> bool:
+        """Whether each load of the table has partitions of its own: event folders in a plain file format."""
+        return model == "raw_events" and self.storage.root is not None and self.storage.fmt not in TRANSACTIONAL
 
     def exists(self, layer: str, model: str) -> bool:
         if self.storage.root is not None:
@@ -99,7 +107,7 @@ class Warehouse:
             self._replace_folder(layer, model, df, partition_by)
             return self.read(layer, model)
         target = self.storage.table_name(layer, model)
-        if self.storage.fmt in _ATOMIC_FORMATS:
+        if self.storage.fmt in TRANSACTIONAL:
             writer = df.writeTo(target).using(self.storage.fmt).options(**self.storage.write_options)
             if partition_by:
                 writer = writer.partitionedBy(*[F.col(c) for c in partition_by])
@@ -138,7 +146,18 @@ class Warehouse:
         if not fs.rename(self._folder(aside_path)[0], target):
             raise OSError(f"cannot move {aside_path} to {path}")
 
+    def add_load(self, layer: str, model: str, df: DataFrame, load: str) -> None:
+        """Writes the rows of one load; writing it again replaces it and leaves other loads alone.
+
+        Batch loads and streams thus share a folder, since no writer's log decides what is read.
+        """
+        writer = self._writer(df.withColumn(LOAD, F.lit(load)), "overwrite", (S.EVENT_PARTITION, LOAD))
+        writer.option("partitionOverwriteMode", "dynamic").save(self.storage.path(layer, model))
+
     def append(self, layer: str, model: str, df: DataFrame, partition_by=()) -> None:
+        if self.loads(model):
+            self.add_load(layer, model, df, f"batch-{uuid.uuid4().hex}")
+            return
         writer = self._writer(df, "append", partition_by)
         if self.storage.root is None:
             writer.saveAsTable(self.storage.table_name(layer, model))

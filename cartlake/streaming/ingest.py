@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartlake import schemas as S
 from cartlake.config import BRONZE
-from cartlake.sources.warehouse import Warehouse
+from cartlake.sources.warehouse import TRANSACTIONAL, Warehouse
 
 HEADER_BYTES = 5  # Fixed value: magic byte and four bytes of schema id.
 
@@ -90,7 +92,22 @@ def write_bronze(
     `available_now` drains what is there and ends, for backfills.
     """
     storage = warehouse.storage
+    plain = storage.fmt not in TRANSACTIONAL
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    if plain:
+        # Spark's file sink keeps a log that hides rows written by anything else, so each
+        # batch is a load of its own; a replayed batch replaces itself in folders. Plain catalog
+        # tables have no such key: a batch replayed after a crash is there twice.
+        stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+        def load(batch: DataFrame, number: int) -> None:
+            if storage.root is None:
+                warehouse.append(BRONZE, "raw_events", batch, [S.EVENT_PARTITION])
+            else:
+                warehouse.add_load(BRONZE, "raw_events", batch, f"stream-{stream}-{number}")
+
+        writer = events.writeStream.queryName(name).trigger(**trigger)
+        return writer.option("checkpointLocation", checkpoint).foreachBatch(load).start()
     writer = (
         events.writeStream.queryName(name)
         .format(storage.fmt)

@@ -17,7 +17,7 @@ def test_report_and_isolation(spark, tmp_path):
     assert (rows["good"]["status"], rows["good"]["row_count"]) == ("ok", 5)
     assert (rows["last"]["status"], rows["last"]["row_count"]) == ("ok", 0)
     assert rows["gone"]["status"] == rows["failing"]["status"] == "failed"
-    assert len(rows["gone"]["error"]) == 2000
+    assert len(rows["gone"]["error"]) > 2000
     assert "bad row" in rows["failing"]["error"]
     assert spark.read.parquet(str(tmp_path / "good")).count() == 5
     with pytest.raises(export.ExportFailed, match="gone, failing"):

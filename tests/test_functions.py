@@ -35,10 +35,8 @@ def test_hash_key_is_upper_case_md5(spark):
     assert one(spark, None, text.hash_key) is None
 
 
-def test_cut_and_dotted_part(spark):
+def test_cut(spark):
     assert len(one(spark, "x" * 3000, text.cut)) == 2000
-    assert one(spark, "test.shop.unique_a.1", lambda c: text.dotted_part(c, 3)) == "unique_a"
-    assert one(spark, "test.shop", lambda c: text.dotted_part(c, 3)) is None
 
 
 @pytest.mark.parametrize("raw", ["abc", ""])
