@@ -101,13 +101,21 @@ def _pairs(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def linked(members: DataFrame, texts: DataFrame, test: tuple[Callable, Callable], rounds: int = 2) -> DataFrame:
+def linked(
+    members: DataFrame,
+    texts: DataFrame,
+    test: tuple[Callable, Callable],
+    rounds: int = 2,
+    narrow: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """(node, root) of the components that confirmed links form within buckets.
 
     members: landed (bucket, node) rows, texts: landed (node, text). Round one compares each
     member with the smallest one of its bucket, later rounds with another leader drawn by
     hash, and only across components. Buckets that still hold two components are then
-    resolved in full: all their untested pairs from different components are compared.
+    resolved in full: all their untested pairs from different components are compared, or, with
+    `narrow`, those it gives. It gets the (node, root) rows of these buckets and must give (a, b)
+    for every pair of different roots that can pass the test.
     Two members of one bucket that are alike thus always end in one component.
     """
     spark = members.sparkSession
@@ -131,6 +139,8 @@ def linked(members: DataFrame, texts: DataFrame, test: tuple[Callable, Callable]
             leads = leads.select("bucket", F.col("_l.node").alias("_ln"), F.col("_l.root").alias("_lr"))
             found = live.join(leads, "bucket").where("root <> _lr")
             pairs = found.select(*_pairs(F.col("_ln"), F.col("node"))).distinct()
+        elif narrow is not None:
+            pairs = narrow(live.select("node", "root").distinct())
         else:
             other = live.select("bucket", F.col("node").alias("_ln"), F.col("root").alias("_lr"))
             found = live.join(other, "bucket").where("root < _lr")

@@ -3,7 +3,9 @@
 Each permutation is evaluated once per shingle and gives two signature values, the smallest
 and the largest image. A band joins four permutations (eight values); 64 bands miss a pair
 of similarity 0.8 with a chance below 1e-5, while unrelated texts rarely share a band.
-Candidates are confirmed on their full shingle sets.
+Candidates are confirmed on their full shingle sets. Buckets that leaders cannot resolve are
+searched by an exact prefix filter, so a group whose members differ by just too much is not
+compared pair by pair.
 
 Results for odd input: null, empty and blank texts have no shingles, are linked with nothing
 and are kept. Texts of fewer than k words have one shingle, the whole sequence. Rows without
@@ -16,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cartlake.llm.common import bounded, chunked, land, per_batch, small_batches, text_hash, texts_of
 from cartlake.llm.links import linked, shared_buckets, shingles_alike
@@ -72,6 +74,59 @@ def _sketcher(k: int, banded: bool):
     return per_batch(work)
 
 
+def _listed(k: int):
+    """Turns (node, text) into one row per distinct shingle, with the size of its set."""
+
+    def work(batch: pa.RecordBatch):
+        texts, nodes = texts_of(batch.column("text")), batch.column("node").to_numpy(zero_copy_only=False)
+        for i, j in chunked(texts):
+            hashes, bounds, *_ = document_words(texts[i:j])
+            shingles = shingle_hashes(hashes, k)
+            sets = [shingle_set(hashes, shingles, bounds[d], bounds[d + 1], k) for d in range(j - i)]
+            sizes = np.array([len(x) for x in sets], np.int64)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "node": pa.array(np.repeat(nodes[i:j], sizes)),
+                    "shingle": pa.array(np.concatenate(sets).view(np.int64)),
+                    "n": pa.array(np.repeat(sizes, sizes)),
+                }
+            )
+
+    return per_batch(work)
+
+
+def prefix_pairs(texts: DataFrame, k: int, percent: int):
+    """For `linked`: all pairs of different roots that can be alike, found without comparing the rest.
+
+    Shingles are put in one order, rarest first. Two sets that are alike share so many that the
+    first one they share leaves enough places behind it in both; it lies among the first
+    (100 - percent) % of each. Sets join on such shingles only, and members of the root that
+    holds most of a shingle are not joined with each other.
+    """
+
+    def pairs(live: DataFrame) -> DataFrame:
+        listed = texts.join(live.select("node"), "node", "left_semi")
+        listed = land(listed.mapInArrow(_listed(k), "node long, shingle long, n long"), "listed")
+        often = listed.groupBy("shingle").agg(F.count("*").alias("often"))
+        place = F.row_number().over(Window.partitionBy("node").orderBy("often", "shingle"))
+        first = listed.join(often, "shingle").withColumn("place", place)
+        first = first.where(F.expr(f"place <= n - ({percent} * n + 99) div 100 + 1"))
+        first = land(first.join(live, "node").select("node", "root", "n", "place", "shingle"), "prefixes")
+        held = first.groupBy("shingle", "root").agg(F.count("*").alias("c"))
+        main = held.groupBy("shingle").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots"))
+        first = land(first.join(main.where("roots > 1").select("shingle", "main"), "shingle"), "shared")
+        odd = first.where("root <> main").select(
+            "shingle", F.col("node").alias("_node"), F.col("root").alias("_root"), F.col("n").alias("_n"), F.col("place").alias("_place")
+        )
+        both = first.join(odd, "shingle").where("root <> _root").withColumn(
+            "need", F.expr(f"({percent} * (n + _n) + {99 + percent}) div {100 + percent}")
+        )
+        both = both.where("n - place + 1 >= need and _n - _place + 1 >= need")
+        return both.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
+
+    return pairs
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) for every row of docs(doc_id, text, ...)."""
     small_batches(docs.sparkSession)
@@ -96,7 +151,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     found = found.mapInArrow(_sketcher(k, False), "doc_id long, th long, n long, k1 long, k2 long, text binary")
     texts = found.join(bounded(needed.select("k1", "k2", "node")), ["k1", "k2"]).select("node", "text")
     texts = land(texts.dropDuplicates(["node"]), "texts")
-    roots = linked(members, texts, shingles_alike(k, percent))
+    roots = linked(members, texts, shingles_alike(k, percent), narrow=prefix_pairs(texts, k, percent))
 
     best = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     head = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("f")
