@@ -56,6 +56,18 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) rows after further links: only the roots that these join are searched again."""
+    a = roots.select(F.col("node").alias("a"), F.col("root").alias("_ra"))
+    b = roots.select(F.col("node").alias("b"), F.col("root").alias("_rb"))
+    joined = links.join(a, "a", "left").join(b, "b", "left")
+    joined = joined.select(F.coalesce("_ra", "a").alias("a"), F.coalesce("_rb", "b").alias("b"))
+    upper = components(joined)
+    up = upper.select(F.col("node").alias("root"), F.col("root").alias("_top"))
+    old = roots.join(up, "root", "left").select("node", F.coalesce("_top", "root").alias("root"))
+    return old.unionByName(upper.join(roots.select("node"), "node", "left_anti"))
+
+
 def shingles_alike(k: int, percent: int) -> tuple[Callable, Callable]:
     """Exact Jaccard similarity of k-word shingle sets, as (prepare, compare)."""
     return (lambda text: exact_shingles(text, k)), (lambda a, b: alike(a, b, percent))
@@ -120,7 +132,7 @@ def linked(
     """
     spark = members.sparkSession
     size = members.groupBy("bucket").agg(F.count("*").alias("_n"))
-    tested = links = roots = None
+    tested = roots = None
     live = members
     for r in range(rounds + 1):
         if roots is not None:
@@ -150,6 +162,5 @@ def linked(
         pairs = land(pairs, "pairs")
         new = land(confirmed(pairs, texts, test), "links")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        links = new if links is None else links.unionByName(new)
-        roots = land(components(links), "roots")
+        roots = land(components(new) if roots is None else merged(roots, new), "roots")
     return roots
