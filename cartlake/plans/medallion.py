@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -128,15 +128,32 @@ def stored(warehouse: Warehouse, layer: str, models) -> dict[str, DataFrame]:
     return {m: warehouse.read(layer, m) for m in models if warehouse.exists(layer, m)}
 
 
-def check_layer(warehouse: Warehouse, layer: str, run_id: str, tested_at: datetime) -> DataFrame:
-    """Runs the declared checks of a layer on its stored tables and logs them."""
-    tables = stored(warehouse, layer, SILVER_MODELS if layer == SILVER else GOLD_MODELS)
-    declared = SILVER_CHECKS if layer == SILVER else GOLD_CHECKS
-    runnable = [c for c in declared if c.model in tables]
-    results = checks.run_checks(tables, runnable, run_id, tested_at)
-    warehouse.append(MONITORING, "dq_gate_log", checks.to_log(results).coalesce(1))
-    log = warehouse.read(MONITORING, "dq_gate_log")
-    return log.where((log.run_id == run_id) & (log.layer == layer))
+def check_layer(
+    warehouse: Warehouse, layer: str, run_id: str, tested_at: datetime, failed: Collection[str] = ()
+) -> DataFrame:
+    """Runs the declared checks of a layer on its stored tables and logs them.
+
+    Gives the rows of this call only, so a run repeated under its id is judged anew. Checks that
+    need a table which is missing, or whose model is in `failed`, are logged as errors.
+    """
+    names = SILVER_MODELS if layer == SILVER else GOLD_MODELS
+    tables = {m: t for m, t in stored(warehouse, layer, names).items() if m not in failed}
+    rows, runnable = [], []
+    for check in SILVER_CHECKS if layer == SILVER else GOLD_CHECKS:
+        needed = {check.model} | ({check.argument[0]} if check.kind == "relationships" else set())
+        absent = sorted(needed - set(tables))
+        if not absent:
+            runnable.append(check)
+            continue
+        name = check.full_name if check.kind == "expression_is_true" else check.kind
+        detail = f"No table of this run: {', '.join(absent)}"
+        rows.append((run_id, layer, check.model, name, "error", 0, detail, tested_at))
+    if runnable:
+        # One row a check. Fixed here, so the gate judges what was logged.
+        rows += checks.to_log(checks.run_checks(tables, runnable, run_id, tested_at)).collect()
+    results = warehouse.spark.createDataFrame(rows, S.DQ_LOG)
+    warehouse.append(MONITORING, "dq_gate_log", results.coalesce(1))
+    return results
 
 
 def log_builds(warehouse: Warehouse, layer: str, run_id: str, results, tested_at) -> None:
@@ -167,7 +184,8 @@ def run_build(
     def silver_quality_gate():
         built = build_silver(warehouse, **options)
         log_builds(warehouse, SILVER, run_id, built, clock())
-        results = check_layer(warehouse, SILVER, run_id, clock())
+        failed = [r.model for r in built if r.status == "error"]
+        results = check_layer(warehouse, SILVER, run_id, clock(), failed)
         checks.enforce(results, SILVER, gate_mode)
 
     def gold_build():
@@ -202,10 +220,12 @@ def run_monitoring(
     spark = warehouse.spark
     try:
         fresh = monitor.freshness(warehouse.read(BRONZE, "raw_events"), as_of, run_id, limits=limits)
-        warehouse.append(MONITORING, "freshness_log", fresh.coalesce(1))
+        row = fresh.head()
     except Exception:
         fresh = monitor.unreadable_freshness(spark, as_of, run_id, limits=limits)
-        warehouse.append(MONITORING, "freshness_log", fresh)
+        row = fresh.head()
+    fresh = spark.createDataFrame([row], fresh.schema)
+    warehouse.append(MONITORING, "freshness_log", fresh.coalesce(1))
 
     loaders = {m: (lambda m=m: warehouse.read(SILVER, m)) for m in SILVER_MODELS}
     loaders |= {m: (lambda m=m: warehouse.read(GOLD, m)) for m in GOLD_MODELS}
@@ -221,8 +241,7 @@ def run_monitoring(
     snapshot = spark.createDataFrame(rows, snapshot.schema)
     warehouse.append(MONITORING, "volume_snapshot_log", monitor.to_volume_log(snapshot).coalesce(1))
 
-    logged = warehouse.read(MONITORING, "freshness_log")
-    verdict = monitor.health(logged.where(logged.run_id == run_id), snapshot, run_id).head()
+    verdict = monitor.health(fresh, snapshot, run_id).head()
     warehouse.append_rows(
         MONITORING,
         "pipeline_run_log",

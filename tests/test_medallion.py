@@ -151,3 +151,21 @@ def test_monitoring_runs(spark, lake):
 def test_monitoring_without_bronze_is_critical(spark, tmp_path):
     lake = Warehouse(spark, Storage(root=str(tmp_path)))
     assert medallion.run_monitoring(lake, "m1", NOW) == "CRITICAL"
+
+
+def test_a_repeated_run_id_is_judged_anew(lake):
+    for attempt in range(2):
+        medallion.build_silver(lake)
+        results = medallion.check_layer(lake, SILVER, "r1", NOW)
+        assert results.count() == 39
+    assert log(lake, "dq_gate_log").count() == 78
+    assert medallion.run_monitoring(lake, "m1", NOW) == medallion.run_monitoring(lake, "m1", NOW)
+
+
+def test_checks_without_their_table_are_errors(lake):
+    medallion.build_silver(lake)
+    rows = medallion.check_layer(lake, SILVER, "r1", NOW, failed=["stg_order_items"]).collect()
+    assert len(rows) == 39
+    errors = [r for r in rows if r["status"] == "error"]
+    assert errors and all("stg_order_items" in r["error_detail"] for r in errors)
+    assert {r["model_name"] for r in rows if r["status"] != "error"}.isdisjoint({"stg_order_items"})
