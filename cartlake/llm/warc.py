@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cartlake.llm.common import scratch
+from cartlake.llm.common import land, scratch
 
 LEAST_BYTES = 100
 VERSION = "WARC/1.1"
@@ -51,19 +51,17 @@ def write(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> Archive:
         F.coalesce(F.col("url"), F.lit("")).alias("url"),
         payload.alias("payload"),
     )
-    rows = rows.withColumn("digest", F.unhex(F.sha2("payload", 256))).withColumn(
-        "at", F.monotonically_increasing_id()
-    )
-    first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "at")).alias("first")
-    unique = rows.groupBy("digest").agg(
-        F.min("payload").alias("payload"), F.max("payload").alias("_other"), first
-    )
+    rows = rows.withColumn("digest", F.unhex(F.sha2("payload", 256)))
+    # Another scan may number rows in another way, so records and the firsts of their payloads come from the same landed rows.
+    light = rows.withColumn("at", F.monotonically_increasing_id())
+    light = land(light.select("page_id", "url", "digest", "at", F.length("payload").cast("long").alias("bytes")), "warc-records")
+    unique = rows.groupBy("digest").agg(F.min("payload").alias("payload"), F.max("payload").alias("_other"))
     same = F.assert_true(F.col("payload") == F.col("_other"), F.lit("two payloads share a digest"))
     unique = unique.withColumn("payload", F.when(same.isNull(), F.col("payload")))
-    unique.select("digest", "payload", "first").write.option("compression", "zstd").parquet(archive.payloads)
+    unique.select("digest", "payload").write.option("compression", "zstd").parquet(archive.payloads)
 
-    firsts = spark.read.schema(unique.select("digest", "first").schema).parquet(archive.payloads)
-    light = rows.select("page_id", "url", "digest", "at", F.length("payload").cast("long").alias("bytes"))
+    first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "at")).alias("first")
+    firsts = light.groupBy("digest").agg(first)
     records = light.join(firsts, "digest")
     lead = (F.col("page_id").eqNullSafe(F.col("first.page_id"))) & (F.col("at") == F.col("first.at"))
     response = (F.col("bytes") < least_bytes) | lead | F.col("page_id").isNull()
@@ -100,7 +98,7 @@ def read(archive: Archive, with_records: bool = False) -> DataFrame:
     (page_id, url, record_type, refers_to, payload_bytes, payload_digest, and with
     `with_records` record: the record's exact bytes). Sizes and digests are computed from the
     stored payload; a payload that does not match the digest it is stored under, or a header
-    that gives another size, fails the read.
+    that gives another size or has no payload, fails the read.
     """
     spark = archive.spark
     headers = spark.read.schema("digest binary, header binary").parquet(archive.headers)
@@ -125,7 +123,7 @@ def read(archive: Archive, with_records: bool = False) -> DataFrame:
         _field(text, "WARC-Payload-Digest", "sha256:([0-9a-f]{64})").alias("_told"),
         _field(text, "Content-Length", "([0-9]+)").cast("long").alias("_length"),
     )
-    rows = fields.join(checked, "digest")
+    rows = fields.join(checked, "digest", "left")
     whole = F.col("record_type") == "response"
     right = (F.col("_told") == F.col("payload_digest")) & (
         F.col("_length") == F.when(whole, F.col("payload_bytes")).otherwise(F.lit(0))
