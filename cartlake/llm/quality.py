@@ -4,17 +4,21 @@ Each hashed word and byte n-gram has a learned vector; a document is the average
 vectors of its whole text, followed by a softmax. Vectors and output layer are trained with
 stochastic gradient descent in numpy on the driver, on a bounded sample of labelled rows: at
 most `SAMPLE_ROWS` rows and `SAMPLE_BYTES` bytes of whole texts, those with the smallest hash
-of doc_id. For two classes the softmax depends on each feature only through the projection of
+of doc_id. Texts of more than a `LONG_SHARE`th of these bytes come after all others, and a text
+that no longer fits is passed over for the next. For two classes the softmax depends on each feature only through the projection of
 its vector on the difference of the output rows, so one number per feature is broadcast
 (2^17 floats), whatever the size of the corpus.
 
 Results for odd input: null and empty texts have no features and get the score of the bias.
 Labels that are null, or contradict each other for one doc_id, are not learned from. Without
-any label of both classes every score is 0.5. Rows without doc_id are scored, never held out.
+any label of both classes every score is 0.5; documents of both classes of which the sample can hold
+only one are an error. Rows without doc_id are scored, never held out.
 """
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -27,6 +31,7 @@ DIMENSIONS = 16
 ORDERS = (2, 3, 4)
 SAMPLE_ROWS = 4_000
 SAMPLE_BYTES = 12 << 20
+LONG_SHARE = 16
 EPOCHS = 6
 RATE = 3.0
 THRESHOLD = 0.7
@@ -116,18 +121,23 @@ def sample(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     given = docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).join(chosen, "id")
     # Repeated documents could pass the bound, so rows and bytes are counted before texts are fetched.
-    row = F.struct(F.xxhash64("id").alias("h"), "id", F.length("text").alias("n"))
-    sizes = given.select(row.alias("r")).orderBy("r").limit(SAMPLE_ROWS).collect()
-    room, ids = SAMPLE_BYTES, set()
-    for (r,) in sizes:
-        room -= r.n
-        if room < 0:
-            break
-        ids.add(r.id)
-    kept = [x for x in first if x.id in ids]
-    chosen = F.broadcast(spark.createDataFrame(kept, "id long, q int"))
-    given = docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).join(chosen, "id")
-    rows = given.orderBy(F.xxhash64("id"), "id", "text").limit(SAMPLE_ROWS).collect()
+    n = F.length("text")
+    order = [n > SAMPLE_BYTES // LONG_SHARE, F.xxhash64("id"), F.col("id"), n]
+    sizes = given.orderBy(*order).limit(SAMPLE_ROWS).select("id", "q", n.alias("n")).collect()
+    room, kept, count = SAMPLE_BYTES, [], 0
+    for (i, q, size), same in groupby(sizes):
+        rows = len(list(same))
+        if rows * size <= room:
+            room -= rows * size
+            kept.append((i, q, size))
+            count += rows
+    if len({q for _, q, _ in kept}) < 2:
+        found = docs.select(F.col("doc_id").cast("long").alias("id")).join(told, "id").agg(F.min("q"), F.max("q")).first()
+        if found[0] != found[1]:
+            raise ValueError("documents of both classes are labelled, but the training sample holds one class at most")
+    chosen = F.broadcast(spark.createDataFrame([(i, size) for i, _, size in kept], "_id long, _n int"))
+    given = given.join(chosen, (F.col("id") == F.col("_id")) & (n == F.col("_n")), "left_semi")
+    rows = given.orderBy(*order, "text").limit(count).collect()
     return [bytes(r.text) for r in rows], [r.q for r in rows]
 
 
