@@ -1,14 +1,12 @@
-"""Benchmark decontamination by CGK embeddings and bit-sampling LSH.
-
-Texts are lower-cased and white space is collapsed. The CGK random walk maps edit distance to
-Hamming distance: step t emits the symbol under the pointer and moves on when a pseudo-random bit
-of (t, symbol) is set. Keys are hashes of few sampled steps; the sampling is repeated, and the
-walk too, so that a passage with edits within `edit_rate` shares a key with its item with high
-probability. Items are grouped by size: an item of n symbols is indexed at every offset with
-windows of about two thirds of its size (56 symbols at most, so a long item has many), and
-texts are walked from every `stride`-th symbol, where stride is half a window. Whatever the
-alignment, a leaked item holds whole windows at a stride. Each hit is verified with the exact
-edit distance of the item to the best span there.
+"""Benchmark decontamination by exact pieces of the items.
+
+Texts are lower-cased and white space is collapsed. An item of n characters counts as leaked where a
+span of the text is at most k = `edit_rate` * n edits away. Cut into k + 1 pieces, k edits leave
+one piece whole, so the recall is 1 at every size and edit rate: each piece gives a seed of up to
+`SEED` bytes, and all places of a text where a seed occurs are looked up. A place is kept if the text
+around it holds as many of the item's five-byte grams as k edits must leave (one edit of a character
+of b bytes breaks b + 4 at most), and is then verified with the exact edit distance of the item to the
+best span there. Items under 1 / `edit_rate` characters are their own piece.
 
 One scan does it all, without a shuffle. The benchmark goes to the tasks in blocks of at most
 `BLOCK_SYMBOLS` symbols, a scan for each block.
@@ -21,7 +19,7 @@ they occur. Empty tables give no rows.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,54 +27,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cartlake.llm.common import chunked, per_batch, small_batches
-from cartlake.llm.words import mix
 
 EDIT_RATE = 0.1
-WALKS = 2
-SAMPLINGS = 8
-SAMPLED = 11
-STRIDES = (28, 14, 7, 3, 1)  # an item of n bytes takes the first that is at most a third of n
+SEED = 8  # bytes, at most
+GRAM = 5  # bytes
+GRAM_BITS = 12
 BLOCK_SYMBOLS = 250_000
-_BITMAP = 1 << 20
+_BITMAP_BITS = 20
+_CELLS = 1 << 20
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def normal(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
-def stride_of(n: int) -> int:
-    """Symbols between window starts for an item of n bytes."""
-    return next((s for s in STRIDES if 3 * s <= n), 1)
-
-
-def _tables(stride: int, walk: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Multipliers whose top product bit moves the pointer, and the sampled steps of each sampling."""
-    steps = 3 * stride + 4
-    rng = np.random.RandomState(7919 * stride + walk)
-    odd = rng.randint(0, 128, size=steps).astype(np.uint8) * np.uint8(2) + np.uint8(1)
-    picks = [np.sort(rng.choice(steps, min(SAMPLED, steps), replace=False)) for _ in range(SAMPLINGS)]
-    return odd, picks
+def sliding(data: np.ndarray, n: int) -> np.ndarray:
+    """The eight bytes from each of the first n places on as one number; data has 16 spare bytes at its end."""
+    out = np.empty(-(-n // 8) * 8, np.uint64)
+    for j in range(8):
+        out[j::8] = np.frombuffer(data, "<u8", len(out) // 8, j)
+    return out[:n]
 
 
-def embed_keys(data: np.ndarray, starts: np.ndarray, stride: int, walk: int):
-    """One array of 64-bit keys per sampling for the windows that begin at `starts`.
-
-    `data` must hold as many spare bytes at its end as the walk has steps.
-    """
-    odd, picks = _tables(stride, walk)
-    at = starts.astype(np.intp)
-    keys = [np.zeros(len(at), np.uint64) for _ in picks]
-    taken = {t: [s for s, p in enumerate(picks) if t in p] for t in range(len(odd))}
-    symbol, move = np.empty(len(at), np.uint8), np.empty(len(at), np.uint8)
-    for t in range(max(t for t in taken if taken[t]) + 1):
-        np.take(data, at, out=symbol, mode="clip")
-        for s in taken[t]:
-            keys[s] *= np.uint64(0x9E3779B97F4A7C15)
-            keys[s] += symbol
-        np.multiply(symbol, odd[t], out=move)
-        np.right_shift(move, 7, out=move)
-        np.add(at, move, out=at)
-    return [mix(k) for k in keys]
+def _top(values: np.ndarray, length: int, bits: int) -> np.ndarray:
+    """Hash of the first `length` bytes of each value in so many bits."""
+    mask = np.uint64((1 << 8 * length) - 1)
+    return (((values & mask) * _SPREAD) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def edit_match(item: str, text: str) -> tuple[int, int]:
@@ -108,66 +85,115 @@ def pieces_of(item: str, n: int) -> list[str]:
     return [item[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
+def seeds_of(item: str, most: int) -> tuple[int, list[range]]:
+    """Bytes of a seed, and for each piece of the item the byte offsets at which a seed lies whole in it."""
+    pieces = [len(x.encode()) for x in pieces_of(item, most + 1)]
+    length, spots, at = min(SEED, *pieces, SEED), [], 0
+    for size in pieces:
+        spots.append(range(at, at + size - length + 1))
+        at += size
+    return length, spots
+
+
 @dataclass
 class Index:
-    """A block of items: their texts by stride, and for each walk and sampling the sorted keys."""
+    """A block of items: for each seed length the seeds' bitmap, sorted seeds, items and byte offsets."""
 
     items: list[tuple[int, str, bytes]]
-    keys: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]
+    keys: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    most: np.ndarray
+    sizes: np.ndarray
+    needs: np.ndarray  # grams of the item that `most` edits leave at least
+    wide: int  # bytes of the items' widest character
+    grams: np.ndarray  # for each item a bit for each hash of its grams
     rate: float
 
     @classmethod
     def of(cls, items: list[tuple[int, str]], rate: float) -> Index:
         known = [(i, t, t.encode()) for i, t in ((i, normal(t)) for i, t in items) if t]
-        groups: dict[int, list[int]] = defaultdict(list)
-        for n, (_, _, raw) in enumerate(known):
-            groups[stride_of(len(raw))].append(n)
+        most = np.array([int(rate * len(t)) for _, t, _ in known], np.int64)
+        sizes = np.array([len(raw) for _, _, raw in known], np.int64)
+        wide = np.array([max(len(c.encode()) for c in set(t)) for _, t, _ in known], np.int64)
+        needs = sizes - (GRAM - 1) - most * (GRAM - 1 + wide)
+        grams = np.zeros((len(known), 1 << GRAM_BITS >> 3), np.uint8)
+        groups: dict[int, list[tuple[int, list[range]]]] = defaultdict(list)
+        for n, (_, t, raw) in enumerate(known):
+            length, spots = seeds_of(t, int(most[n]))
+            groups[length].append((n, spots))
+            data = np.frombuffer(raw + bytes(16), np.uint8)
+            own = _top(sliding(data, max(0, len(raw) - GRAM + 1)), GRAM, GRAM_BITS)
+            np.bitwise_or.at(grams[n], own >> 3, (1 << (own & 7)).astype(np.uint8))
         keys = {}
-        for stride, members in groups.items():
-            data, starts, owner, offset, size = [], [], [], [], 0
-            for n in members:
+        for length, members in groups.items():
+            # Of the seeds a piece offers, the one that is rarest among all items gives fewest places to verify.
+            often = Counter(known[n][2][i : i + length] for n, spots in members for spot in spots for i in spot)
+            found, owner, offset = [], [], []
+            for n, spots in members:
                 raw = known[n][2]
-                spots = np.arange(max(1, len(raw) - 2 * stride + 1))
-                starts.append(size + spots)
-                owner.append(np.full(len(spots), n))
-                offset.append(spots)
-                data.append(raw)
-                size += len(raw)
-            flat = np.frombuffer(b"".join(data) + bytes(3 * stride + 8), np.uint8)
-            starts, owner, offset = map(np.concatenate, (starts, owner, offset))
-            keys[stride] = []
-            for walk in range(WALKS):
-                for found in embed_keys(flat, starts, stride, walk):
-                    order = np.argsort(found, kind="stable")
-                    seen = np.zeros(_BITMAP, bool)
-                    seen[(found >> np.uint64(44)).astype(np.int64)] = True
-                    keys[stride].append((seen, found[order], owner[order], offset[order]))
-        return cls(known, keys, rate)
+                for spot in spots:
+                    best = min(spot, key=lambda i: often[raw[i : i + length]])
+                    found.append(int.from_bytes(raw[best : best + length], "little"))
+                    owner.append(n)
+                    offset.append(best)
+            found = np.array(found, np.uint64)
+            order = np.argsort(found, kind="stable")
+            seen = np.zeros(1 << _BITMAP_BITS, bool)
+            seen[_top(found, length, _BITMAP_BITS)] = True
+            keys[length] = (seen, found[order], np.array(owner, np.int64)[order], np.array(offset, np.int64)[order])
+        return cls(known, keys, most, sizes, needs, int(max(wide, default=1)), grams, rate)
 
     def candidates(self, data: np.ndarray, offsets: np.ndarray) -> set[tuple[int, int, int]]:
-        """(text, item, byte where the item would begin) for windows that share a key."""
+        """(text, item, byte where the item would begin, give or take its edits) for places that may hold an item."""
         out = set()
-        for stride, tables in self.keys.items():
-            counts = np.maximum(0, (np.diff(offsets) - 1 - 2 * stride) // stride + 1)
-            counts = np.where(np.diff(offsets) > 1, np.maximum(counts, 1), 0)
-            row = np.repeat(np.arange(len(counts)), counts)
-            if not len(row):
-                continue
-            inside = (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)) * stride
-            starts = offsets[row] + inside
-            for walk in range(WALKS):
-                for s, found in enumerate(embed_keys(data, starts, stride, walk)):
-                    seen, keys, owner, offset = tables[walk * SAMPLINGS + s]
-                    maybe = np.flatnonzero(seen[(found >> np.uint64(44)).astype(np.int64)])
-                    if not len(maybe):
-                        continue
-                    low = np.searchsorted(keys, found[maybe], "left")
-                    high = np.searchsorted(keys, found[maybe], "right")
-                    for w, a, b in zip(maybe[high > low], low[high > low], high[high > low]):
-                        for x in range(a, b):
-                            out.add((int(row[w]), int(owner[x]), int(inside[w] - offset[x])))
+        values = sliding(data, int(offsets[-1]))
+        grams = _top(values, GRAM, GRAM_BITS).astype(np.uint16)
+        highest = int(data.max())
+        wide = max(self.wide, 1 + (highest >= 0xC0) + (highest >= 0xE0) + (highest >= 0xF0))
+        for length, (seen, keys, owner, offset) in self.keys.items():
+            maybe = np.flatnonzero(seen[_top(values, length, _BITMAP_BITS)])
+            found = values[maybe] & np.uint64((1 << 8 * length) - 1)
+            low, high = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
+            maybe, low, high = maybe[high > low], low[high > low], high[high > low]
+            total = np.cumsum(high - low)
+            # Hits in parts, so that a seed many items share does not fill the memory.
+            for part in np.split(np.arange(len(maybe)), np.flatnonzero(np.diff(total // _CELLS)) + 1):
+                times = high[part] - low[part]
+                if not len(part):
+                    continue
+                x = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(low[part], times)
+                at, item = np.repeat(maybe[part], times), owner[x]
+                row = np.searchsorted(offsets, at, "right") - 1
+                # Hits of one item within its edits of each other are one place, told by its middle.
+                unit = np.maximum(1, self.most[item])
+                cell = (at - offsets[row] - offset[x]) // unit
+                places = np.unique(np.stack([row, item, cell]), axis=1)
+                unit = np.maximum(1, self.most[places[1]])
+                begin = places[2] * unit + unit // 2
+                keep = self._enough(grams, wide, offsets, places[0], places[1], begin)
+                out.update(zip(places[0][keep].tolist(), places[1][keep].tolist(), begin[keep].tolist()))
         return out
 
+    def _enough(self, grams: np.ndarray, wide: int, offsets: np.ndarray, row: np.ndarray, item: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Numbers of the places around which enough grams of the item lie."""
+        # An edit moves what follows by the bytes of one character of the text at most.
+        slack = wide * self.most[item] + self.most[item] // 2 + 1
+        first = np.maximum(offsets[row], offsets[row] + begin - slack)
+        last = np.minimum(offsets[row + 1], offsets[row] + begin + self.sizes[item] + slack)
+        span = np.maximum(0, last - first)
+        order, keep, i = np.argsort(span, kind="stable"), [], 0
+        while i < len(order):
+            # Places of like width go together; the widest is last.
+            j = min(len(order), i + max(1, _CELLS // max(1, int(2 * span[order[i]]))))
+            j = max(i + 1, int(np.searchsorted(span[order[i:j]], 2 * span[order[i]] + 16, "right")) + i)
+            some = order[i:j]
+            width = np.arange(int(span[some[-1]]))
+            g = grams[np.minimum(first[some, None] + width, len(grams) - 1)]
+            held = (self.grams[item[some, None], g >> 3] >> (g & 7)) & 1
+            count = (held.astype(bool) & (width < span[some, None])).sum(axis=1)
+            keep.append(some[count >= self.needs[item[some]]])
+            i = j
+        return np.concatenate(keep) if keep else np.zeros(0, np.int64)
+
     def leaks(self, texts: list[str]) -> list[dict[int, tuple[int, int, int]]]:
         """For each normalised text: item number to (distance, begin of the searched region, end of the match)."""
         raws = [t.encode() for t in texts]
@@ -180,7 +206,7 @@ class Index:
             most = int(self.rate * len(item))
             if out[d].get(n, (most + 1,))[0] == 0:
                 continue
-            slack = 4 * most + 8
+            slack = 5 * most + 8
             region = raws[d][max(0, begin - slack) : begin + len(raw) + slack].decode("utf-8", "ignore")
             if item in region:
                 distance, end = 0, region.index(item) + len(item)

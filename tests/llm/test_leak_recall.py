@@ -1,0 +1,38 @@
+"""Every planted leak within the edit rate is found, whatever the item's size."""
+
+import random
+
+import pytest
+
+from cartlake.llm import decontaminate
+
+LETTERS = "abcdefghijklmnoprstuvwyñó    "
+
+
+def _item(rng: random.Random, n: int) -> str:
+    return decontaminate.normal("x" + "".join(rng.choice(LETTERS) for _ in range(2 * n)))[:n].strip().ljust(n, "z")
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 7, 9, 10, 15, 29, 40, 60, 84, 90, 112, 130, 200, 400])
+def test_all_leaks_at_the_edit_rate_are_found(n):
+    rng = random.Random(n)
+    items = [(i, _item(rng, n)) for i in range(60)]
+    index = decontaminate.Index.of(items, decontaminate.EDIT_RATE)
+    texts, tight = [], []
+    for _, item in items:
+        edited, most = list(item), int(decontaminate.EDIT_RATE * n)
+        for _ in range(most):
+            kind, at = rng.randrange(3), rng.randrange(len(edited))
+            edited[at : at + (kind > 0)] = ["q"] if kind < 2 else []
+        before, after = (decontaminate.normal(_item(rng, rng.randrange(1, 90))) for _ in range(2))
+        texts.append(decontaminate.normal(before + " " + "".join(edited) + " " + after))
+        tight.append(decontaminate.normal("".join(edited)))
+    for given in (texts, tight):
+        found = index.leaks(given)
+        for i, text in enumerate(given):
+            for number, (_, item, _) in enumerate(index.items):
+                if n < 100 or number == i:
+                    distance = decontaminate.edit_match(item, text)[0]
+                    want = distance if distance <= int(decontaminate.EDIT_RATE * len(item)) else None
+                    assert found[i].get(number, (None,))[0] == want
+            assert n > 200 or i in found[i] or decontaminate.edit_match(index.items[i][1], text)[0] > int(0.1 * len(index.items[i][1]))
