@@ -3,11 +3,13 @@
 Passages are copied into the middle of lines, so line breaks do not delimit them. A text's word
 sequence is cut into paragraphs where the hash of two neighbouring words is the smallest within
 `REACH` words on both sides. Inside a repeated passage the cuts fall on the same words whatever
-surrounds it; paragraphs have 7 words at least, 13 on average, so a passage of over 50 words
-holds several whole ones.
+surrounds it; paragraphs have 7 words at least, 13 on average. A passage is found by the whole
+paragraphs in it: the words at its edges stay, and a passage without a run of `MIN_WORDS` words in
+whole paragraphs is not found.
 
 Paragraphs of equal words are one class. Classes that share a MinHash band over five-word
-shingles (three bands of one value: over 99 of 100 pairs of similarity 0.8 meet) are compared
+shingles (three bands of one value: over 99 of 100 pairs of shingle similarity 0.8 meet, but an
+edit in a paragraph of 13 words leaves less, so many edited variants never meet) are compared
 with a leader, confirmed by their exact word edit distance (20 % of the longer at most), and
 joined to components. In each
 component the first paragraph stays and the others go, if they are part of a run of at least
