@@ -11,8 +11,9 @@ shingles without a guard word make up less than the asked containment. A matchin
 holds one, wherever it lies. All steps are built-in functions.
 
 Words are runs of a-z and 0-9 after lower-casing; shingles have five words, or as many as the
-template if it is shorter. Results for odd input: null, empty and wordless texts match nothing,
-and neither do null or wordless templates. Rows that repeat a doc_id count as one document,
+template if it is shorter. The registered query knows the notices in `TEMPLATES` only, none of
+LGPL, AGPL, ISC, BSD-2-Clause or GPL-2.0 and no whole license text. Results for odd input: null, empty and wordless texts match nothing,
+and neither do null or wordless templates. Rows that repeat a doc_id count as one document whose texts are all searched,
 templates that repeat a license_id as alternatives. Several matches of one license give one row
 for the best, ties the first. Empty tables give no rows.
 """
@@ -126,7 +127,7 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, percent: int = PER
         ).selectExpr("number", "license_id", f"{_shingles('win', k)} AS sh")
         bands = own.selectExpr("number", f"inline({_BAND_VALUES})")
         hits = cut.selectExpr("doc_id", "word", "sh", f"inline({_BAND_VALUES})")
-        hits = hits.join(bounded(bands), ["b", "v"]).groupBy("doc_id", "word", "number").agg(F.first("sh").alias("sh"))
+        hits = hits.join(bounded(bands), ["b", "v"]).select("doc_id", "word", "number", "sh").distinct()
         own = own.select("number", "license_id", F.col("sh").alias("whole"))
         hits = hits.join(bounded(own), "number").selectExpr(
             "doc_id", "license_id", "size(array_intersect(sh, whole)) AS shared", "size(whole) AS shingles", "word"
