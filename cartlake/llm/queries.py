@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartlake.llm import chat, decontaminate, exact, langid, licenses, minhash, passages, pieces, quality, warc
+from cartlake.llm import chat, decontaminate, exact, infill, langid, licenses, minhash, passages, pieces, quality, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -70,6 +70,16 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select("doc_id", "ids", F.size("ids").alias("n_ids"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text in its fill-in-middle form, and the text restored from it, as digests."""
+    found = infill.restore(infill.transform(table(spark, folder, "documents")))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -81,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 ORACLE: dict[str, str] = {
@@ -128,4 +139,36 @@ ORACLE: dict[str, str] = {
         FROM documents
         WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_fill_in_middle": """
+        WITH cut AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+                   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents
+        ), drawn AS (
+            SELECT doc_id, text, units, len(units) AS n,
+                   CAST('0x' || h[1:8] AS BIGINT) % (len(units) + 1) AS one,
+                   CAST('0x' || h[9:16] AS BIGINT) % (len(units) + 1) AS two,
+                   CAST('0x' || h[17:24] AS BIGINT) % 100 AS three,
+                   CAST('0x' || h[25:32] AS BIGINT) % 100 AS four
+            FROM cut
+        ), parts AS (
+            SELECT doc_id, n, text,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                             OR three >= 90 THEN 'plain'
+                        WHEN four < 20 THEN 'spm' ELSE 'psm' END AS form,
+                   array_to_string(units[1 : least(one, two)], '') AS prefix,
+                   array_to_string(units[least(one, two) + 1 : greatest(one, two)], '') AS middle,
+                   array_to_string(units[greatest(one, two) + 1 :], '') AS suffix
+            FROM drawn
+        )
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                      WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts
+    """,
 }
