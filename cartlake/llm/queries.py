@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartlake.llm import chat, decontaminate, exact, infill, langid, licenses, minhash, passages, pieces, quality, warc
+from cartlake.llm import chat, decontaminate, exact, infill, langid, licenses, merkle, minhash, passages, pieces, quality, simhash, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,6 +80,29 @@ def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; each seventh is tampered with and checked."""
+    number = F.col("doc_id").cast("string")
+    tampered = F.pmod(F.crc32(number.cast("binary")), F.lit(7)) == 0
+    n_chars = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    found = merkle.manifest(table(spark, folder, "documents"), altered={"n_chars": n_chars})
+    siblings = F.transform("path", lambda step: merkle.as_hex(F.concat(step["left"], step["right"])))
+    folded = merkle.fold(F.col("other_leaf"), F.col("path"))
+    found = found.withColumn("folded", folded)
+    return found.select(
+        "doc_id",
+        *[merkle.as_hex(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+        F.sha2(F.array_join(siblings, ""), 256).alias("proof_sha256"),
+        merkle.as_hex(F.col("folded")).alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -92,6 +115,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_simhash_near_dedup": op13_simhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -171,4 +196,62 @@ ORACLE: dict[str, str] = {
                sha256(text) AS restored_sha256
         FROM parts
     """,
+    "op12_merkle_manifest": """
+        WITH RECURSIVE rows AS (
+            SELECT doc_id, lang, n_chars,
+                   coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+                       || coalesce(strlen(source) || ':' || source, '-')
+                       || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+                   coalesce(strlen(text) || ':' || text, '-') AS tail,
+                   -- CRC-32 of the decimal id, bit by bit.
+                   xor(list_reduce(
+                       list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+                       lambda s, b: list_reduce([xor(s, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))
+                   ), 4294967295) AS crc
+            FROM documents
+        ), hashed AS (
+            SELECT doc_id, lang,
+                   sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+                   sha256(head || coalesce(strlen(CAST(n_chars + CASE WHEN crc % 7 = 0 THEN 1 ELSE 0 END AS VARCHAR)) || ':'
+                       || (n_chars + CASE WHEN crc % 7 = 0 THEN 1 ELSE 0 END), '-') || tail) AS other
+            FROM rows
+        ), leaves AS (
+            SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+                   count(*) OVER (PARTITION BY lang) AS n
+            FROM hashed
+        ), tree AS (
+            SELECT 0 AS level, g, place, n, leaf AS digest FROM leaves
+            UNION ALL
+            SELECT level + 1, g, place // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+            FROM tree WHERE n > 1 GROUP BY level, g, place // 2, n
+        ), climb AS (
+            SELECT 0 AS level, g, place AS leaf_place, place, n, '' AS proof, other AS folded FROM leaves
+            UNION ALL
+            SELECT c.level + 1, c.g, c.leaf_place, c.place // 2, (c.n + 1) // 2, c.proof || coalesce(s.digest, ''),
+                   sha256(CASE WHEN c.place % 2 = 0 THEN c.folded || coalesce(s.digest, '') ELSE s.digest || c.folded END)
+            FROM climb c LEFT JOIN tree s ON s.level = c.level AND s.g = c.g AND s.place = xor(c.place, 1)
+            WHERE c.n > 1
+        ), tops AS (
+            SELECT g AS place, count(*) OVER () AS n, digest FROM tree WHERE n = 1
+        ), upper_tree AS (
+            SELECT 0 AS level, place, n, digest FROM tops
+            UNION ALL
+            SELECT level + 1, place // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+            FROM upper_tree WHERE n > 1 GROUP BY level, place // 2, n
+        ), upper_climb AS (
+            SELECT 0 AS level, g, leaf_place, g AS place, (SELECT count(*) FROM tops) AS n, proof, folded FROM climb WHERE n = 1
+            UNION ALL
+            SELECT c.level + 1, c.g, c.leaf_place, c.place // 2, (c.n + 1) // 2, c.proof || coalesce(s.digest, ''),
+                   sha256(CASE WHEN c.place % 2 = 0 THEN c.folded || coalesce(s.digest, '') ELSE s.digest || c.folded END)
+            FROM upper_climb c LEFT JOIN upper_tree s ON s.level = c.level AND s.place = xor(c.place, 1)
+            WHERE c.n > 1
+        )
+        SELECT doc_id, leaf, t.digest AS subroot, (SELECT digest FROM upper_tree WHERE n = 1) AS root,
+               sha256(c.proof) AS proof_sha256, c.folded AS folded_root,
+               c.folded = (SELECT digest FROM upper_tree WHERE n = 1) AS verified
+        FROM leaves l
+        JOIN upper_climb c ON c.g = l.g AND c.leaf_place = l.place AND c.n = 1
+        JOIN tops t ON t.place = l.g
+    """,
 }
