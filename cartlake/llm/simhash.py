@@ -1,11 +1,11 @@
 """SimHash near-dedup by multi-index hashing.
 
 A fingerprint has a bit for each bit of the 64-bit shingle hashes: 1 if set in over half of them. Two
-fingerprints link if few bits differ. Equal fingerprints are one class, so only distinct ones
+fingerprints link if at most BITS bits differ. Equal fingerprints are one class, so only distinct ones
 are searched.
 
 Multi-index hashing: the 64 bits are two segments. Of two fingerprints that differ in at
-most `bits` bits, either the first segments differ in at most bits - 1, or they take all the
+most two bits, either the first segments differ in at most one, or they take both
 differences and the second segments are equal. So a table of first segments is searched with
 a small Hamming ball around each fingerprint's own segment, a table of second segments with the
 segment itself, and every match is verified on the complete distance. A pair is found from its
@@ -36,7 +36,7 @@ from cartlake.llm.common import bounded, chunked, land, per_batch, small_batches
 from cartlake.llm.links import components
 
 SHINGLE = 3
-BITS = 2
+BITS = 2  # what two segments and balls of one bit find
 SEED = 42
 CROWD = 64
 _BLOCK = 1 << 16  # shingles whose bits are spread out at once
@@ -87,6 +87,7 @@ def fingerprints(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 
 
 _LOW = 0xFFFFFFFF
+_FLIPS = [1 << i for i in range(32)]
 
 
 def _first(fp: Column) -> Column:
@@ -97,18 +98,13 @@ def _second(fp: Column) -> Column:
     return fp.bitwiseAND(F.lit(_LOW).cast("long"))
 
 
-def _distance(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
+def _near(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= BITS
 
 
-def _flips(bits: int) -> list[int]:
-    """The 32-bit masks of at most `bits` bits, by size; `bits` is 0 or 1."""
-    return [0] + [1 << i for i in range(32) if bits]
-
-
-def _around(value: Column, bits: int) -> Column:
-    """The values of the ball around a segment."""
-    return F.transform(F.array(*[F.lit(m).cast("long") for m in _flips(bits)]), lambda m: value.bitwiseXOR(m))
+def _ball(value: Column) -> Column:
+    """A segment's value and those one bit from it."""
+    return F.transform(F.array(*[F.lit(m).cast("long") for m in [0, *_FLIPS]]), lambda m: value.bitwiseXOR(m))
 
 
 def _pair(a: str, b: str) -> list[Column]:
@@ -120,53 +116,50 @@ def _crowds(table: DataFrame) -> DataFrame:
     return land(table.groupBy("seg").agg(F.count("*").alias("c")).where(f"c > {CROWD}").select("seg"), "crowds")
 
 
-def _same_value(table: DataFrame, crowds: DataFrame, bits: int) -> DataFrame:
+def _same_value(table: DataFrame, crowds: DataFrame) -> DataFrame:
     """Links between fingerprints with equal segments: table(seg, rest, fp)."""
     few = table.join(bounded(crowds), "seg", "left_anti")
     other = few.select("seg", F.col("fp").alias("_fp"))
-    pairs = few.join(other, "seg").where((F.col("fp") < F.col("_fp")) & (_distance(F.col("fp"), F.col("_fp")) <= bits))
+    pairs = few.join(other, "seg").where((F.col("fp") < F.col("_fp")) & _near("fp", "_fp"))
     many = table.join(bounded(crowds), "seg", "left_semi")
     # Members around one point are at most two bits apart. Stars around the points reach all links.
-    points = many.select("seg", "fp", F.explode(_around(F.col("rest"), 1)).alias("point"))
+    points = many.select("seg", "fp", F.explode(_ball(F.col("rest"))).alias("point"))
     heads = land(points.groupBy("seg", "point").agg(F.min("fp").alias("_fp"), F.count("*").alias("c")).where("c > 1"), "points")
-    stars = points.join(heads, ["seg", "point"]).where((F.col("fp") != F.col("_fp")) & (_distance(F.col("fp"), F.col("_fp")) <= bits))
+    stars = points.join(heads, ["seg", "point"]).where((F.col("fp") != F.col("_fp")) & _near("fp", "_fp"))
     return pairs.select(*_pair("fp", "_fp")).unionByName(stars.select(*_pair("fp", "_fp")))
 
 
-def _next_values(table: DataFrame, crowds: DataFrame, bits: int) -> DataFrame:
+def _next_values(table: DataFrame, crowds: DataFrame) -> DataFrame:
     """Links between fingerprints whose segments differ in one bit."""
     # From the value without the bit to the one with it: each pair is met once.
-    unset = F.filter(
-        F.array(*[F.lit(m).cast("long") for m in _flips(1)[1:]]), lambda m: F.col("seg").bitwiseAND(m) == 0
+    unset = F.filter(F.array(*[F.lit(m).cast("long") for m in _FLIPS]), lambda m: F.col("seg").bitwiseAND(m) == 0)
+    probes = table.select(
+        F.explode(F.transform(unset, lambda m: F.col("seg") + m)).alias("seg"), F.col("rest").alias("_rest"), F.col("fp").alias("_fp")
     )
-    probes = table.select(F.explode(F.transform(unset, lambda m: F.col("seg") + m)).alias("seg"), "rest", "fp")
-    probes = probes.withColumnRenamed("fp", "_fp").withColumnRenamed("rest", "_rest")
     few = table.join(bounded(crowds), "seg", "left_anti")
-    near = probes.join(few, "seg").where(_distance(F.col("fp"), F.col("_fp")) <= bits)
+    pairs = probes.join(few, "seg").where(_near("fp", "_fp"))
     many = table.join(bounded(crowds), "seg", "left_semi")
-    listed = many.select("seg", "fp", F.explode(_around(F.col("rest"), bits - 1)).alias("_rest"))
+    listed = many.select("seg", "fp", F.explode(_ball(F.col("rest"))).alias("_rest"))
     asked = probes.join(bounded(crowds), "seg", "left_semi")
-    split = asked.join(listed, ["seg", "_rest"]).where(_distance(F.col("fp"), F.col("_fp")) <= bits)
-    return near.select(*_pair("fp", "_fp")).unionByName(split.select(*_pair("fp", "_fp")))
+    split = asked.join(listed, ["seg", "_rest"]).where(_near("fp", "_fp"))
+    return pairs.select(*_pair("fp", "_fp")).unionByName(split.select(*_pair("fp", "_fp")))
 
 
-def near_links(classes: DataFrame, bits: int = BITS) -> DataFrame:
-    """(a, b) links of landed distinct fingerprints classes(fp) that connect all pairs of at most `bits` bits (1 or 2)."""
-    if bits not in (1, 2):
-        raise ValueError("two segments searched with balls of one bit find links of one or two bits")
+def near_links(classes: DataFrame) -> DataFrame:
+    """(a, b) links of landed distinct fingerprints classes(fp) that connect all pairs of at most BITS bits."""
     fp = F.col("fp")
     first = classes.select(_first(fp).alias("seg"), _second(fp).alias("rest"), "fp")
     second = classes.select(_second(fp).alias("seg"), _first(fp).alias("rest"), "fp")
-    crowds_1, crowds_2 = _crowds(first), _crowds(second)
-    found = _same_value(first, crowds_1, bits).unionByName(_same_value(second, crowds_2, bits))
-    return found.unionByName(_next_values(first, crowds_1, bits)) if bits > 1 else found
+    crowds = _crowds(first)
+    found = _same_value(first, crowds).unionByName(_same_value(second, _crowds(second)))
+    return found.unionByName(_next_values(first, crowds))
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, bits: int = BITS) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     """(doc_id, fp, component_id) for every row of docs(doc_id, text, ...)."""
     sketch = land(fingerprints(docs, k), "fingerprints")
     classes = land(sketch.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "classes")
-    found = land(near_links(classes.select("fp"), bits).distinct(), "links")
+    found = land(near_links(classes.select("fp")).distinct(), "links")
     roots = components(found)
     heads = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left")
     heads = land(heads.withColumn("root", F.coalesce("root", "fp")), "heads")

@@ -1,0 +1,113 @@
+"""Merkle manifests against trees built with lists."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from cartlake.llm import merkle
+
+DOCS = "doc_id long, source string, lang string, n_chars int, text string, leaf string, root string, g long"
+
+
+def h(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf_of(row):
+    values = [None if v is None else str(v) for v in row[:5]]
+    return h("".join("-" if v is None else f"{len(v.encode())}:{v}" for v in values))
+
+
+def climb(nodes, fanout):
+    """(root, siblings of each leaf as a list of (left, right))."""
+    paths, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for i, place in enumerate(at):
+            begin = place - place % fanout
+            paths[i].append(("".join(nodes[begin:place]), "".join(nodes[place + 1 : begin + fanout])))
+            at[i] = place // fanout
+        nodes = [h("".join(nodes[j : j + fanout])) for j in range(0, len(nodes), fanout)]
+    return nodes[0], paths
+
+
+def by_hand(rows, fanout):
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[2], []).append(row)
+    names = sorted(groups, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {}
+    for name in names:
+        leaves = sorted(((r[0] is not None, r[0] or 0, leaf_of(r), r) for r in groups[name]), key=lambda x: x[:3])
+        trees[name] = (leaves, *climb([x[2] for x in leaves], fanout))
+    root, above = climb([trees[n][1] for n in names], fanout)
+    found = []
+    for name, over in zip(names, above):
+        leaves, subroot, paths = trees[name]
+        found += [(x[3][0], x[2], subroot, root, [*p, *over]) for x, p in zip(leaves, paths)]
+    return found
+
+
+def got(df):
+    rows = df.collect()
+    text = lambda b: bytes(b).hex()
+    return [
+        (r.doc_id, text(r.leaf), text(r.subroot), text(r.root), [(text(s.left), text(s.right)) for s in r.path]) for r in rows
+    ]
+
+
+def key(row):
+    return (row[0] is not None, row[0] or 0, row[1], str(row[4]))
+
+
+def rows(n):
+    langs = [None, "en", "de", "é", "lonely", ""]
+    found = [(i * 3 % 101 if i % 9 else None, "s" if i % 4 else None, langs[0 if i % 3 else i % 4], i if i % 5 else None, f"text {i % 17}" if i % 6 else None, "x", "y", 1) for i in range(n)]
+    return found + [(7, "s", "lonely", 1, "", "x", "y", 1)] + [(8, "s", "en", 3, "same", "x", "y", 1)] * 5
+
+
+@pytest.mark.parametrize("fanout, n", [(2, 0), (2, 1), (2, 97), (3, 80), (5, 97)])
+def test_trees(spark, fanout, n):
+    given = rows(n)
+    found = merkle.manifest(spark.createDataFrame(given, DOCS).repartition(3), fanout=fanout)
+    assert sorted(got(found), key=key) == sorted(by_hand(given, fanout), key=key)
+
+
+def test_one_row_and_none(spark):
+    one = [(None, None, None, None, None, "x", "y", 1)]
+    found = merkle.manifest(spark.createDataFrame(one, DOCS))
+    assert got(found) == [(None, h("-----"), h("-----"), h("-----"), [])]
+    none = merkle.manifest(spark.createDataFrame([], DOCS))
+    assert none.count() == 0 and none.columns == found.columns
+
+
+@pytest.mark.parametrize("fanout", [2, 4])
+def test_altered_rows_do_not_fold_to_the_root(spark, fanout):
+    docs = spark.createDataFrame(rows(60), DOCS)
+    # A lambda's null stays null, so such rows are not altered.
+    changed = F.when(F.col("doc_id") % 2 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    found = merkle.manifest(docs, altered={"n_chars": changed}, fanout=fanout)
+    folded = found.withColumn("whole", merkle.fold(F.col("leaf"), F.col("path")) == F.col("root"))
+    folded = folded.withColumn("other", merkle.fold(F.col("other_leaf"), F.col("path")) == F.col("root"))
+    folded = folded.withColumn("same", F.col("leaf") == F.col("other_leaf")).collect()
+    assert all(r.whole for r in folded) and all(r.other == r.same for r in folded)
+    assert {r.same for r in folded} == {True, False}
+
+
+def test_places_are_spread_when_rows_share_a_key(spark):
+    """A third of the rows tie on group and order; their places are still dealt over partitions."""
+    from cartlake.llm.common import land
+
+    equal = spark.range(4000).select(F.lit("a").alias("grp"), F.lit(1).alias("ord"))
+    others = spark.range(8000).select(F.lit("a").alias("grp"), F.col("id").cast("int").alias("ord"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would share a partition
+    try:
+        numbered, starts = merkle.placed(land(equal.union(others), "t"), "grp", ["ord"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    held = [r["count"] for r in numbered.groupBy("_part").count().collect()]
+    assert max(held) <= 6000
+    both = numbered.join(starts, ["_part", "grp"]).select((F.col("_at") - F.col("_first") + F.col("_before")).alias("place"), "ord", "n")
+    places = sorted((r.place, r.ord) for r in both.collect())
+    assert [p for p, _ in places] == list(range(12000)) and [o for _, o in places] == sorted(o for _, o in places)
+    assert both.where("n <> 12000").isEmpty()
