@@ -20,6 +20,7 @@ are ignored. A table without rows has no leaves and no root: no rows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -29,6 +30,7 @@ from cartlake.llm.common import bounded, land
 FANOUT = 2
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 PATH = "array<struct<left:binary,right:binary>>"
+PART_ROWS = 1 << 16  # nodes of a level per task and file; upper levels are small whatever the session's partitions
 _PLACE = (1 << 33) - 1  # the low bits of an increasing id number the rows of a partition
 
 
@@ -104,34 +106,49 @@ def parents(level: DataFrame, fanout: int = FANOUT) -> DataFrame:
     )
 
 
-def levels(leaves: DataFrame, most: int, fanout: int = FANOUT) -> list[DataFrame]:
-    """Landed levels from the leaves up; `most` is the largest group's number of leaves."""
-    found = [land(with_siblings(leaves, fanout), "level")]
-    while most > 1:
-        found.append(land(with_siblings(parents(found[-1], fanout), fanout), "level"))
-        most = -(-most // fanout)
-    return found
+@dataclass
+class Level:
+    """A landed level and the most rows it can have."""
 
+    nodes: DataFrame
+    rows: int
 
-def roots(tree: list[DataFrame]) -> DataFrame:
+    def dealt(self, df: DataFrame) -> DataFrame:
+        return df.coalesce(-(-self.rows // PART_ROWS))
+
+
+def levels(leaves: DataFrame, most: int, total: int, groups: int, fanout: int = FANOUT) -> list[Level]:
+    """Landed levels from the leaves up; `most` is the largest of the groups, total that of all leaves."""
+    found, nodes, rows = [], leaves, total
+    while True:
+        level = Level(with_siblings(nodes, fanout), rows)
+        level.nodes = land(level.dealt(level.nodes), "level")
+        found.append(level)
+        if most <= 1:
+            return found
+        nodes, most = parents(level.nodes, fanout), -(-most // fanout)
+        rows = min(rows, rows // fanout + groups)  # each group rounds up once
+
+
+def roots(tree: list[Level]) -> DataFrame:
     """(g, root) of each group."""
-    ends = [level.where("n = 1").select("g", F.col("digest").alias("root")) for level in tree]
+    ends = [level.nodes.where("n = 1").select("g", F.col("digest").alias("root")) for level in tree]
     return reduce(DataFrame.unionByName, ends)
 
 
-def paths(tree: list[DataFrame], fanout: int = FANOUT) -> DataFrame:
+def paths(tree: list[Level], fanout: int = FANOUT) -> DataFrame:
     """(g, place, path) of the leaves: (left, right) digests, level by level up to the group's root."""
     upper = None
     for level in reversed(tree):
         own = F.struct("left", "right")
         if upper is None:
-            upper = level.select("g", "place", F.array().cast(PATH).alias("path"))
+            upper = level.nodes.select("g", "place", F.array().cast(PATH).alias("path"))
             continue
         above = upper.select(F.col("g").alias("_g"), F.col("place").alias("_p"), F.col("path").alias("_path"))
         up = F.floor(F.col("place") / fanout).cast("long")
-        joined = level.join(above, (F.col("g") == F.col("_g")) & (up == F.col("_p")) & (F.col("n") > 1), "left")
+        joined = level.nodes.join(above, (F.col("g") == F.col("_g")) & (up == F.col("_p")) & (F.col("n") > 1), "left")
         path = F.when(F.col("n") > 1, F.concat(F.array(own), F.col("_path")))
-        upper = joined.select("g", "place", F.coalesce(path, F.array().cast(PATH)).alias("path"))
+        upper = level.dealt(joined.select("g", "place", F.coalesce(path, F.array().cast(PATH)).alias("path")))
     return upper
 
 
@@ -171,8 +188,8 @@ def manifest(
     first = first.select("_part", "_first", "_before", F.col("n").alias("total"))
     listed = listed.join(bounded(first), "_part")
     listed = land(listed.select("_group", "n", (F.col("_at") - F.col("_first") + F.col("_before")).alias("g"), "total"), "groups")
-    sizes = listed.agg(F.max("n"), F.max("total")).first()
-    if sizes[0] is None:
+    sizes = listed.agg(F.max("n").alias("most"), F.sum("n").alias("rows"), F.max("total").alias("groups")).first()
+    if sizes.most is None:
         digests = T.StructType([T.StructField(c, T.BinaryType()) for c in ("leaf", "subroot", "root", "other_leaf")])
         nothing = T.StructType([docs.schema[order], *digests.fields, T.StructField("path", T._parse_datatype_string(PATH))])
         return docs.sparkSession.createDataFrame([], nothing)
@@ -185,14 +202,14 @@ def manifest(
         "g", (F.col("_at") - F.col("_first") + F.col("_before")).alias("place"), "n", "digest", "_order", "_other"
     )
     leaves = land(leaves, "numbered")
-    tree = levels(leaves.select("g", "place", "n", "digest"), sizes[0], fanout)
+    tree = levels(leaves.select("g", "place", "n", "digest"), sizes.most, sizes.rows, sizes.groups, fanout)
 
     tops = roots(tree).join(listed.select("g", "total"), "g")
     tops = tops.select(
         F.lit(0).cast("long").alias("g"), F.col("g").alias("place"), F.col("total").alias("n"), F.col("root").alias("digest")
     )
-    tops = land(tops, "subroots")
-    upper = levels(tops, sizes[1], fanout)
+    tops = land(Level(tops, sizes.groups).dealt(tops), "subroots")
+    upper = levels(tops, sizes.groups, sizes.groups, 1, fanout)
     over = paths(upper, fanout).join(roots(upper), "g")  # the upper tree has one group, so one root
     over = over.select(F.col("place").alias("g"), F.col("path").alias("_over"), "root")
     over = land(over.join(tops.select(F.col("place").alias("g"), F.col("digest").alias("subroot")), "g"), "upper-paths")
