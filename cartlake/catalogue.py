@@ -20,7 +20,7 @@ from cartlake.functions.typing import utc_wall_clock
 from cartlake.operators import checks, export, monitor
 from cartlake.plans import gold, silver
 from cartlake.plans.declared_checks import CHECKS
-from cartlake.plans.medallion import RunLog, build_gold, build_silver, raise_on_error
+from cartlake.plans.medallion import RunLog, bronze_freshness, build_gold, build_silver, raise_on_error, table_counts
 from cartlake.session import shared_folder
 from cartlake.sources import derived, jsonl
 from cartlake.sources.warehouse import Warehouse
@@ -180,13 +180,19 @@ def _history(counts: DataFrame) -> DataFrame:
     )
 
 
+def _counts(spark, folder) -> DataFrame:
+    stored_layers(spark, folder)
+    return table_counts(warehouse(spark, folder)).drop("count_error")
+
+
 def _snapshot(spark, folder) -> DataFrame:
-    counts = monitor.count_rows(stored_layers(spark, folder))
+    counts = _counts(spark, folder)
     return monitor.volume_snapshot(counts, _history(counts), AS_OF, RUN_ID)
 
 
 def _freshness(spark, folder) -> DataFrame:
-    return monitor.freshness(bronze(spark, folder), AS_OF, RUN_ID)
+    bronze(spark, folder)
+    return bronze_freshness(warehouse(spark, folder), AS_OF, RUN_ID)
 
 
 def q_freshness(spark, folder):
@@ -202,7 +208,7 @@ def q_volume_anomaly(spark, folder):
 
 
 def q_mean_counts(spark, folder):
-    counts = monitor.count_rows(stored_layers(spark, folder))
+    counts = _counts(spark, folder)
     return monitor.mean_counts(_history(counts), AS_OF)
 
 
@@ -241,6 +247,27 @@ def q_stream_to_bronze(spark, folder):
     return _drain(spark, folder, "streamed", ingest.decode(records, "json"))
 
 
+def q_backfill_then_stream(spark, folder):
+    """A third of the events as a batch load, the others streamed at a checkpoint that is lost in between.
+
+    Every job runs twice, as after a crash, and the loads are packed at the end; each event is there once.
+    """
+    events = bronze(spark, folder).withColumn("_part", F.pmod(F.crc32(F.col("event_id").cast("binary")), F.lit(3)))
+    lake = Warehouse(spark, Storage(root=_scratch(spark, folder, "backfill")))
+    checkpoint = _scratch(spark, folder, "backfill-checkpoint")
+    for _ in range(2):
+        lake.append(BRONZE, "raw_events", events.where("_part = 0"), key="backfill")
+    for part in (1, 2):
+        rows = events.where(F.col("_part") == part)
+        wire = _once(spark, folder, f"wire-{part}", lambda path, rows=rows: ingest.encode_json(rows).write.parquet(path))
+        records = ingest.decode(ingest.file_records(spark, wire), "json")
+        ingest.write_bronze(records, lake, checkpoint, available_now=True, name=f"part-{part}").awaitTermination()
+        ingest.bronze_loads(lake, checkpoint)(rows, 0)
+        ingest.forget(spark, checkpoint)
+    lake.pack(BRONZE, "raw_events")
+    return silver.raw_events(lake.read(BRONZE, "raw_events"))
+
+
 def q_stream_clicks(spark, folder):
     """The click table, streamed as it is, through the wire form into bronze."""
     schema = spark.read.parquet(f"{folder}/events.parquet").schema
@@ -323,6 +350,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "health": q_health,
     "wire_decode": q_wire_decode,
     "stream_to_bronze": q_stream_to_bronze,
+    "backfill_then_stream": q_backfill_then_stream,
     "stream_clicks": q_stream_clicks,
     "jsonl_load": q_jsonl_load,
     "export_report": q_export_report,

@@ -5,7 +5,7 @@ The time of the run is always an argument; nothing here reads the clock.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import datetime
 from functools import reduce
 
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartlake.config import MonitorLimits, layer_of
 from cartlake.functions.typing import age_minutes, floor_to_minutes, percent_change
+from cartlake.sources.ledger import Load
 
 
 def instant(as_of: datetime | str) -> Column:
@@ -38,12 +39,33 @@ def freshness(
     table_name: str = "raw_events",
     limits: MonitorLimits = MonitorLimits(),
 ) -> DataFrame:
-    """Age of the newest event. No events, or an unreadable time, is critical."""
+    """Age of the newest event, by a scan of all. No events, or an unreadable time, is critical."""
     text = F.col("timestamp")
     time = F.try_to_timestamp(text)
     newest = events.agg(
         F.max(time).alias("newest"), F.count_if(text.isNotNull() & time.isNull()).alias("bad")
-    ).select(F.when(F.col("bad") == 0, F.col("newest")).alias("max_event_time"))
+    )
+    return _aged(newest, as_of, run_id, table_name, limits)
+
+
+def kept_freshness(
+    spark: SparkSession,
+    loads: Iterable[Load],
+    as_of: datetime | str,
+    run_id: str,
+    table_name: str = "raw_events",
+    limits: MonitorLimits = MonitorLimits(),
+) -> DataFrame:
+    """The same verdict from what was kept with each load when it was written: no event is read again."""
+    kept = [(x.facts.get("newest"), x.facts.get("unreadable") or 0) for x in loads]
+    newest = spark.createDataFrame(kept, "newest bigint, bad bigint").agg(
+        F.timestamp_micros(F.max("newest")).alias("newest"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
+    )
+    return _aged(newest, as_of, run_id, table_name, limits)
+
+
+def _aged(newest: DataFrame, as_of: datetime | str, run_id: str, table_name: str, limits: MonitorLimits) -> DataFrame:
+    newest = newest.select(F.when(F.col("bad") == 0, F.col("newest")).alias("max_event_time"))
     now = instant(as_of)
     age = age_minutes(F.col("max_event_time"), now)
     return newest.select(
@@ -77,6 +99,20 @@ def count_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def kept_counts(spark: SparkSession, counters: Mapping[str, Callable[[], int]]) -> DataFrame:
+    """Row counts that were kept when the tables were written; a table without one counts as zero rows with its error.
+
+    `counters` maps names to functions that look the count up.
+    """
+    rows = []
+    for name, count in counters.items():
+        try:
+            rows.append((name, count(), None))
+        except Exception as error:
+            rows.append((name, 0, str(error)))
+    return spark.createDataFrame(rows, "table_name string, record_count bigint, count_error string")
+
+
 def count_rows_isolated(spark: SparkSession, tables: Mapping[str, object]) -> DataFrame:
     """Row counts where one bad table does not spoil the rest.
 

@@ -316,6 +316,7 @@ ORACLE: dict[str, str] = {
     "raw_events": _RAW,
     "wire_decode": _RAW,
     "stream_to_bronze": _RAW,
+    "backfill_then_stream": _RAW,
     "jsonl_load": _LINES,
     **{model: _with(f"SELECT * FROM {model}") for model in _MODELS},
     "payload_losses": _with(_losses()),

@@ -210,6 +210,39 @@ def run_build(
         log.flush()
 
 
+def bronze_freshness(
+    warehouse: Warehouse, as_of: datetime | str, run_id: str, limits: MonitorLimits = MonitorLimits()
+) -> DataFrame:
+    """Freshness of bronze from the counts of its loads; tables of other formats are scanned."""
+    warehouse.require(BRONZE, ["raw_events"])
+    if warehouse.plain and warehouse.location(BRONZE, "raw_events"):
+        loads = warehouse.version(BRONZE, "raw_events").loads
+        return monitor.kept_freshness(warehouse.spark, loads, as_of, run_id, limits=limits)
+    return monitor.freshness(warehouse.read(BRONZE, "raw_events"), as_of, run_id, limits=limits)
+
+
+def table_counts(warehouse: Warehouse) -> DataFrame:
+    """Row counts of all silver and gold tables, without reading them where the format keeps counts."""
+    names = [(SILVER, m) for m in SILVER_MODELS] + [(GOLD, m) for m in GOLD_MODELS]
+    if warehouse.plain:
+        counters = {m: (lambda layer=layer, m=m: warehouse.row_count(layer, m)) for layer, m in names}
+        return monitor.kept_counts(warehouse.spark, counters)
+    loaders = {m: (lambda layer=layer, m=m: warehouse.read(layer, m)) for layer, m in names}
+    return monitor.count_rows_isolated(warehouse.spark, loaders)
+
+
+def run_upkeep(warehouse: Warehouse, hours: float = 168) -> None:
+    """Packs the tables that grow by small loads and deletes what no version has held for `hours`."""
+    grown = [(BRONZE, "raw_events")]
+    grown += [(MONITORING, m) for m in ("pipeline_run_log", "dq_gate_log", "volume_snapshot_log", "freshness_log")]
+    for layer, model in grown:
+        if warehouse.exists(layer, model):
+            warehouse.pack(layer, model)
+    refreshed = [(SILVER, m) for m in SILVER_MODELS] + [(GOLD, m) for m in GOLD_MODELS]
+    for layer, model in (*grown, *refreshed):
+        warehouse.vacuum(layer, model, hours)
+
+
 def run_monitoring(
     warehouse: Warehouse,
     run_id: str,
@@ -219,7 +252,7 @@ def run_monitoring(
     """One monitoring run: freshness, volume and verdict, each logged."""
     spark = warehouse.spark
     try:
-        fresh = monitor.freshness(warehouse.read(BRONZE, "raw_events"), as_of, run_id, limits=limits)
+        fresh = bronze_freshness(warehouse, as_of, run_id, limits)
         row = fresh.head()
     except Exception:
         fresh = monitor.unreadable_freshness(spark, as_of, run_id, limits=limits)
@@ -227,9 +260,7 @@ def run_monitoring(
     fresh = spark.createDataFrame([row], fresh.schema)
     warehouse.append(MONITORING, "freshness_log", fresh.coalesce(1))
 
-    loaders = {m: (lambda m=m: warehouse.read(SILVER, m)) for m in SILVER_MODELS}
-    loaders |= {m: (lambda m=m: warehouse.read(GOLD, m)) for m in GOLD_MODELS}
-    counts = monitor.count_rows_isolated(spark, loaders)
+    counts = table_counts(warehouse)
     if warehouse.exists(MONITORING, "volume_snapshot_log"):
         history = warehouse.read(MONITORING, "volume_snapshot_log")
     else:

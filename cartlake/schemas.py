@@ -19,6 +19,11 @@ EVENT_COLUMNS = (
 EVENT = _strings(" ".join(EVENT_COLUMNS))
 EVENT_PARTITION = "event_type"
 
+# Records that could not be read are kept beside the events, under an event type of their own.
+REJECTED = "__rejected__"
+REJECT_TEXT, REJECT_REASON = "_reject_text", "_reject_reason"
+STORED_EVENT = T.StructType([*EVENT.fields, T.StructField(REJECT_TEXT, T.StringType()), T.StructField(REJECT_REASON, T.StringType())])
+
 # Event types with a payload, and the keys read from each payload.
 ORDER_CREATED = "order.created"
 PAYMENT_PROCESSED = "payment.processed"

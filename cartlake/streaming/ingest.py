@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import hashlib
+import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartlake import schemas as S
 from cartlake.config import BRONZE
-from cartlake.sources.warehouse import TRANSACTIONAL, Warehouse
+from cartlake.sources.warehouse import Warehouse
 
 HEADER_BYTES = 5  # Fixed value: magic byte and four bytes of schema id.
 
@@ -79,6 +80,31 @@ def encode_json(events: DataFrame, schema_id: int = 1) -> DataFrame:
     return events.select(F.concat(header, body).alias("value"))
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a started query keeps in its checkpoint. A checkpoint that is reset gets another one."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").head()[0])["id"]
+
+
+def forget(spark: SparkSession, checkpoint: str) -> None:
+    """Deletes a stopped query's checkpoint, so that its source is read from the start offsets again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(checkpoint)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def bronze_loads(warehouse: Warehouse, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """Adds each batch of a query to the bronze table once.
+
+    A batch is known by the query's own id and its number, so one that is replayed after a crash adds nothing, and
+    a query that starts anew at the same checkpoint path never meets the batches of the one before.
+    """
+
+    def load(batch: DataFrame, number: int) -> None:
+        stream = stream_id(warehouse.spark, checkpoint)
+        warehouse.add_load(BRONZE, "raw_events", batch, f"stream-{stream}-{number}", stream=(stream, number))
+
+    return load
+
+
 def write_bronze(
     events: DataFrame,
     warehouse: Warehouse,
@@ -87,27 +113,16 @@ def write_bronze(
     available_now: bool = False,
     name: str = "events_to_bronze",
 ) -> StreamingQuery:
-    """Appends the stream to the bronze table and starts the query.
+    """Appends the stream to the bronze table, every batch once, and starts the query.
 
     `available_now` drains what is there and ends, for backfills.
     """
     storage = warehouse.storage
-    plain = storage.fmt not in TRANSACTIONAL
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    if plain:
-        # Spark's file sink keeps a log that hides rows written by anything else, so each
-        # batch is a load of its own; a replayed batch replaces itself in folders. Plain catalog
-        # tables have no such key: a batch replayed after a crash is there twice.
-        stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
-
-        def load(batch: DataFrame, number: int) -> None:
-            if storage.root is None:
-                warehouse.append(BRONZE, "raw_events", batch, [S.EVENT_PARTITION])
-            else:
-                warehouse.add_load(BRONZE, "raw_events", batch, f"stream-{stream}-{number}")
-
+    if warehouse.plain:
         writer = events.writeStream.queryName(name).trigger(**trigger)
-        return writer.option("checkpointLocation", checkpoint).foreachBatch(load).start()
+        writer = writer.option("checkpointLocation", checkpoint)
+        return writer.foreachBatch(bronze_loads(warehouse, checkpoint)).start()
     writer = (
         events.writeStream.queryName(name)
         .format(storage.fmt)
