@@ -303,6 +303,55 @@ def q_jsonl_load(spark, folder):
     return jsonl.read_events(spark, _once(spark, folder, "lines", lines.write.text))
 
 
+def _broken(order: str, breaks: dict[int, object], whole):
+    """`whole`, but for orders whose number a key of `breaks` divides, the first one that does."""
+    number, chain = F.col(order).cast("bigint"), F
+    for divisor, value in breaks.items():
+        chain = chain.when(number % divisor == 0, value)
+    return chain.otherwise(whole)
+
+
+def _rejects(lake: Warehouse) -> DataFrame:
+    """The rejects of a bronze table, with the counts that its loads kept."""
+    kept = lake.loads(BRONZE, "raw_events").agg(F.sum("n_rows").alias("kept"), F.sum("n_rejects").alias("rejected")).first()
+    return lake.rejects().select("text", "reason", F.lit(kept.kept).alias("kept"), F.lit(kept.rejected).alias("rejected"))
+
+
+def q_jsonl_rejects(spark, folder):
+    """JSON lines of which some are broken, loaded into bronze: the rejects and the counts of both."""
+    whole = F.to_json(F.struct(*S.EVENT_COLUMNS))
+    breaks = {
+        23: F.concat(F.lit('{"event_id": "'), F.col("event_id")),
+        29: F.concat(F.lit('[1, "'), F.col("event_id"), F.lit('"]')),
+        31: F.lit("null"),
+        37: F.lit("  "),
+    }
+    lines = bronze(spark, folder).select(_broken("order_id", breaks, whole).alias("value"))
+    path = _once(spark, folder, "broken-lines", lines.write.text)
+    lake = Warehouse(spark, Storage(root=_scratch(spark, folder, "jsonl-rejects")))
+    lake.append(BRONZE, "raw_events", jsonl.read_events(spark, path, on_bad="keep"))
+    return _rejects(lake)
+
+
+def q_wire_rejects(spark, folder):
+    """Wire records of which some are broken, streamed into bronze: the rejects and the counts of both."""
+    wire = ingest.encode_json(bronze(spark, folder), keep=("event_id", "order_id"))
+    header = F.substring("value", 1, ingest.HEADER_BYTES)
+    breaks = {
+        23: F.substring("value", 1, 3),
+        29: F.concat(header, F.concat(F.lit('{"event_id": "'), F.col("event_id")).cast("binary")),
+        31: F.lit(None).cast("binary"),
+        37: header,
+    }
+    broken = wire.select(_broken("order_id", breaks, F.col("value")).alias("value"))
+    path = _once(spark, folder, "broken-wire", broken.write.parquet)
+    lake = Warehouse(spark, Storage(root=_scratch(spark, folder, "wire-rejects")))
+    records = ingest.decode(ingest.file_records(spark, path), "json", on_bad="keep")
+    checkpoint = _scratch(spark, folder, "wire-rejects-checkpoint")
+    ingest.write_bronze(records, lake, checkpoint, available_now=True, name="wire_rejects").awaitTermination()
+    return _rejects(lake)
+
+
 # Export and logs
 
 
@@ -353,6 +402,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_then_stream": q_backfill_then_stream,
     "stream_clicks": q_stream_clicks,
     "jsonl_load": q_jsonl_load,
+    "jsonl_rejects": q_jsonl_rejects,
+    "wire_rejects": q_wire_rejects,
     "export_report": q_export_report,
     "run_log": q_run_log,
 }

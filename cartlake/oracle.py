@@ -312,12 +312,50 @@ _LINES = _with(
     FROM raw"""
 )
 
+
+
+def _rejected(cases: str, skipped: str) -> str:
+    """Rejects of records that `cases` breaks, with the counts of the rest; `skipped` counts as neither."""
+    return f"""
+    SELECT text, reason, kept, rejected
+    FROM (SELECT {cases.format(what=0)} AS text, {cases.format(what=1)} AS reason, k FROM told_events) r,
+         (SELECT count(*) FILTER ({cases.format(what=1)} IS NULL AND NOT ({skipped})) AS kept,
+                 count({cases.format(what=1)}) AS rejected FROM told_events)
+    WHERE reason IS NOT NULL"""
+
+
+def _case(breaks: dict[int, tuple[str, str]]) -> str:
+    whens = " ".join(f"WHEN k % {n} = 0 THEN ([{text}, {reason}])[{{what}} + 1]" for n, (text, reason) in breaks.items())
+    return f"CASE {whens} END"
+
+
+_HEADER = "'\\x00\\x00\\x00\\x00\\x01'::BLOB"
+_BROKEN_LINES = _case(
+    {
+        23: ("'{{\"event_id\": \"' || event_id", "'not a JSON object'"),
+        29: ("'[1, \"' || event_id || '\"]'", "'not a JSON object'"),
+        31: ("'null'", "'not a JSON object'"),
+        37: ("NULL", "NULL"),
+    }
+)
+_BROKEN_WIRE = _case(
+    {
+        23: ("base64('\\x00\\x00\\x00'::BLOB)", "'no header'"),
+        29: (f"base64({_HEADER} || encode('{{{{\"event_id\": \"' || event_id))", "'unreadable body'"),
+        31: ("NULL", "'no value'"),
+        37: (f"base64({_HEADER})", "'unreadable body'"),
+    }
+)
+
 ORACLE: dict[str, str] = {
     "raw_events": _RAW,
     "wire_decode": _RAW,
     "stream_to_bronze": _RAW,
     "backfill_then_stream": _RAW,
     "jsonl_load": _LINES,
+    # Lines of spaces are skipped: neither events nor rejects.
+    "jsonl_rejects": _with(_rejected(_BROKEN_LINES, "k % 37 = 0 AND k % 23 <> 0 AND k % 29 <> 0 AND k % 31 <> 0")),
+    "wire_rejects": _with(_rejected(_BROKEN_WIRE, "false")),
     **{model: _with(f"SELECT * FROM {model}") for model in _MODELS},
     "payload_losses": _with(_losses()),
     **{

@@ -142,6 +142,15 @@ class Warehouse:
         rows = self._rows(BRONZE, "raw_events").where(F.col(S.EVENT_PARTITION) == S.REJECTED)
         return rows.select(F.col(S.REJECT_TEXT).alias("text"), F.col(S.REJECT_REASON).alias("reason"))
 
+    def loads(self, layer: str, model: str) -> DataFrame:
+        """One row per live load of a plain table: folder, rows, rejects, bytes and newest event time."""
+        rows = [
+            (x.folder, x.rows, int(x.facts.get("rejects") or 0), x.bytes, x.facts.get("newest"))
+            for x in self.version(layer, model).loads
+        ]
+        found = self.spark.createDataFrame(rows, "folder string, n_rows bigint, n_rejects bigint, n_bytes bigint, newest bigint")
+        return found.withColumn("newest", F.timestamp_micros("newest"))
+
     def _rows(self, layer: str, model: str) -> DataFrame:
         place = self.location(layer, model) if self.plain else None
         if place is None:

@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cartlake import schemas as S
 from cartlake.config import BRONZE
+from cartlake.operators.rejects import BAD_BODY, NO_HEADER, NO_VALUE, PARSED, UNREADABLE, chosen, settled
 from cartlake.sources.warehouse import Warehouse
 
 HEADER_BYTES = 5  # Fixed value: magic byte and four bytes of schema id.
@@ -55,29 +56,46 @@ def without_header(value: Column) -> Column:
     return F.substring(value, HEADER_BYTES + 1, 2147483647)
 
 
-def decode(records: DataFrame, fmt: str = "avro", avro_schema: str | None = None) -> DataFrame:
+def decode(
+    records: DataFrame, fmt: str = "avro", avro_schema: str | None = None, on_bad: str = "fail"
+) -> DataFrame:
     """Wire records to event columns; a record that cannot be read fails the query.
 
-    The schema id in the header is not looked up: one reader schema decodes all
-    records. `avro` needs the Avro connector on the class path.
+    With `on_bad="keep"` such records become rejects in two more columns, their bytes as base64, which bronze
+    stores beside the events; "drop" leaves them out. The schema id in the header is not looked up:
+    one reader schema decodes all records. `avro` needs the Avro connector on the class path.
     """
     body = without_header(F.col("value"))
+    strict = on_bad == "fail"
     if fmt == "avro":
         from pyspark.sql.avro.functions import from_avro
 
-        data = from_avro(body, avro_schema or S.avro_schema())
-    elif fmt == "json":
+        data = from_avro(body, avro_schema or S.avro_schema(), *([] if strict else [{"mode": "PERMISSIVE"}]))
+    elif fmt == "json" and strict:
         data = F.from_json(body.cast("string"), S.EVENT, {"mode": "FAILFAST"})
+    elif fmt == "json":
+        fields = T.StructType(S.EVENT.fields + [T.StructField(UNREADABLE, T.StringType())])
+        data = F.from_json(F.try_validate_utf8(body.cast("string")), fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE})
     else:
         raise ValueError(f"wire format must be avro or json, not {fmt!r}")
-    return records.select(data.alias("data")).select("data.*")
+    if strict:
+        return records.select(data.alias("data")).select("data.*")
+    parsed = records.select("value", F.inline(F.array(F.struct(data.alias(PARSED)))))
+    read = F.col(PARSED)
+    bad = read.isNull() | read[UNREADABLE].isNotNull() if fmt == "json" else read.isNull()
+    reason = (
+        F.when(F.col("value").isNull(), NO_VALUE)
+        .when(F.octet_length("value") < HEADER_BYTES, NO_HEADER)
+        .when(bad, BAD_BODY)
+    )
+    return chosen(settled(parsed, F.base64("value"), reason), on_bad)
 
 
-def encode_json(events: DataFrame, schema_id: int = 1) -> DataFrame:
-    """Events as JSON wire records, the inverse of `decode` for tests and replays."""
+def encode_json(events: DataFrame, schema_id: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Events as JSON wire records, the inverse of `decode` for tests and replays; `keep` names columns to keep beside."""
     header = F.to_binary(F.lit(f"00{schema_id:08x}"), F.lit("hex"))
     body = F.to_json(F.struct(*S.EVENT_COLUMNS)).cast("binary")
-    return events.select(F.concat(header, body).alias("value"))
+    return events.select(*keep, F.concat(header, body).alias("value"))
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
