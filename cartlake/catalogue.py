@@ -127,6 +127,19 @@ def q_delivery_dates(spark, folder):
     return portable(gold.delivery_dates(silver.stg_order_status_history(bronze(spark, folder))))
 
 
+def q_order_lines(spark, folder):
+    return portable(silver.order_lines(bronze(spark, folder)))
+
+
+def q_payment_entries(spark, folder):
+    return portable(silver.payment_entries(bronze(spark, folder)))
+
+
+def q_order_totals(spark, folder):
+    events = bronze(spark, folder)
+    return silver.order_totals(silver.order_lines(events), silver.payment_entries(events))
+
+
 def q_payload_losses(spark, folder):
     return silver.payload_losses(bronze(spark, folder))
 
@@ -383,6 +396,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "payments_agg": q_payments_agg,
     "delivery_dates": q_delivery_dates,
     "payload_losses": q_payload_losses,
+    "order_lines": q_order_lines,
+    "payment_entries": q_payment_entries,
+    "order_totals": q_order_totals,
     "dq_unique": _check_query("unique"),
     "dq_not_null": _check_query("not_null"),
     "dq_accepted_values": _check_query("accepted_values"),

@@ -48,3 +48,17 @@ def spread_object(
 ) -> DataFrame:
     """Adds the fields of a JSON object as text columns."""
     return _spread(df, F.from_json(repair_quotes(F.col(payload), lenient), fields, _JSON_OPTIONS))
+
+
+def spread_elements(
+    df: DataFrame, payload: str, fields: T.StructType, place: str, lenient: bool = False
+) -> DataFrame:
+    """One row per element of a JSON array, with its place (from 0) and its fields as text columns.
+
+    Rows without an array, and empty arrays, stay as one row with a null place. Elements are cut out as text
+    first and parsed one by one, so an element of another kind has null fields and spoils no other.
+    """
+    elements = F.from_json(repair_quotes(F.col(payload), lenient), T.ArrayType(T.StringType()), _JSON_OPTIONS)
+    rows = df.select("*", F.posexplode_outer(elements).alias(place, "_element"))
+    parsed = F.from_json(F.col("_element"), fields, _JSON_OPTIONS)
+    return _spread(rows, parsed).drop("_element")

@@ -13,14 +13,28 @@ line AS (
            max(l_extendedprice) AS price, max(l_tax) AS tax, max(l_shipdate) AS shipped
     FROM lineitem GROUP BY l_orderkey, l_linenumber
 ),
-first_line AS (
-    SELECT l_orderkey, pk, sk, price, tax, max(shipped) OVER (PARTITION BY l_orderkey) AS sh
+items AS (
+    SELECT l_orderkey, max(shipped) AS sh,
+           '[' || string_agg(
+               replace('{~product_id~: ~' || pk || '~, ~product_category_name~: '
+               || CASE WHEN pk % 10 = 0 THEN 'null' ELSE '~' || p_type || '~' END
+               || ', ~price~: ' || CASE WHEN l_orderkey % 97 = 0 THEN '0.0' ELSE CAST(price AS VARCHAR) END
+               || ', ~freight_value~: ' || CAST(round(tax * 100) AS INTEGER) || '.25'
+               || ', ~seller_id~: ~' || sk || '~, ~seller_city~: ~' || n_name
+               || '~, ~seller_state~: ~n' || s_nationkey || '~, ~seller_zip_code~: ~'
+               || lpad(CAST(sk AS VARCHAR), 5, '0') || '~, ~seller_latitude~: -' || s_nationkey
+               || '.5, ~seller_longitude~: ' || s_nationkey || '.25'
+               || CASE WHEN pk % 9 = 0 THEN '' ELSE ', ~product_weight_g~: ' || p_size END
+               || '}', '~', chr(39)), ', ' ORDER BY l_linenumber) || ']' AS items
     FROM line
-    QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) = 1
+    JOIN part ON p_partkey = pk
+    JOIN supplier ON s_suppkey = sk
+    JOIN nation ON n_nationkey = s_nationkey
+    GROUP BY l_orderkey
 ),
 told AS (
     SELECT o_orderkey AS k, o_custkey AS u, o_orderstatus AS os, o_totalprice AS total,
-           o_orderdate AS od, f.*, p_type, p_size, s_nationkey AS sn, sx.n_name AS s_city,
+           o_orderdate AS od, f.items, f.sh,
            's' || o_orderkey AS session_id,
            CASE o_orderkey % 4 WHEN 0 THEN 'mobile' WHEN 1 THEN 'desktop' WHEN 2 THEN 'tablet' END
                AS metadata_device,
@@ -34,26 +48,14 @@ told AS (
            CASE WHEN o_custkey % 25 <> 0 THEN c_nationkey || '.75' END AS customer_longitude,
            CAST(o_orderdate + INTERVAL 60 DAY AS VARCHAR) AS estimated_delivery_date
     FROM orders
-    JOIN first_line f ON l_orderkey = o_orderkey
+    LEFT JOIN items f ON l_orderkey = o_orderkey
     JOIN customer ON c_custkey = o_custkey
     JOIN nation cx ON cx.n_nationkey = c_nationkey
-    JOIN part ON p_partkey = pk
-    JOIN supplier ON s_suppkey = sk
-    JOIN nation sx ON sx.n_nationkey = s_nationkey
 ),
 told_events AS (
     SELECT told.*, 'c' || k AS event_id, 'order.created' AS event_type, od AS moment,
            CAST(u AS VARCHAR) AS user_id, 'created' AS order_status,
-           replace('[{~product_id~: ~' || pk || '~, ~product_category_name~: '
-               || CASE WHEN pk % 10 = 0 THEN 'null' ELSE '~' || p_type || '~' END
-               || ', ~price~: ' || CASE WHEN k % 97 = 0 THEN '0.0' ELSE CAST(price AS VARCHAR) END
-               || ', ~freight_value~: ' || CAST(round(tax * 100) AS INTEGER) || '.25'
-               || ', ~seller_id~: ~' || sk || '~, ~seller_city~: ~' || s_city
-               || '~, ~seller_state~: ~n' || sn || '~, ~seller_zip_code~: ~'
-               || lpad(CAST(sk AS VARCHAR), 5, '0') || '~, ~seller_latitude~: -' || sn
-               || '.5, ~seller_longitude~: ' || sn || '.25'
-               || CASE WHEN pk % 9 = 0 THEN '' ELSE ', ~product_weight_g~: ' || p_size END
-               || '}]', '~', chr(39)) AS payload_items,
+           coalesce(items, '[]') AS payload_items,
            CAST(NULL AS VARCHAR) AS payload_payments, CAST(NULL AS VARCHAR) AS payload_review,
            CAST(NULL AS VARCHAR) AS actual_delivery_date
     FROM told
@@ -64,7 +66,8 @@ told_events AS (
                WHEN 1 THEN ' boleto ' WHEN 2 THEN ' debit_card ' ELSE ' pix ' END
                || '~, ~payment_installments~: ' || (k % 10 + 1) || ', ~payment_value~: '
                || CASE WHEN k % 13 = 0 THEN '0.0' ELSE CAST(total AS VARCHAR) END
-               || '}]', '~', chr(39)), NULL, NULL
+               || '}' || CASE WHEN k % 6 = 0 THEN ', {~payment_type~: ~ Gift_Card~, ~payment_value~: 5.5}' ELSE '' END
+               || ']', '~', chr(39)), NULL, NULL
     FROM told WHERE k % 11 <> 0
     UNION ALL
     SELECT told.*, 'q' || k, 'payment.processed', od + INTERVAL 2 HOUR, CAST(u AS VARCHAR),
@@ -76,7 +79,7 @@ told_events AS (
            CASE WHEN k % 50 = 7 THEN '' ELSE CAST(u AS VARCHAR) END,
            CASE WHEN k % 17 = 0 THEN '' ELSE ' Delivered ' END, NULL, NULL, NULL,
            CASE WHEN os = 'P' THEN '' ELSE CAST(sh AS VARCHAR) END
-    FROM told
+    FROM told WHERE sh IS NOT NULL
     UNION ALL
     SELECT told.*, 'r' || k, 'order.reviewed', sh + INTERVAL 1 DAY, CAST(u AS VARCHAR), NULL,
            NULL, NULL,
@@ -84,7 +87,7 @@ told_events AS (
                || ', ~review_comment_title~: ~ t' || k || ' ~, ~review_comment_message~: '
                || CASE WHEN k % 21 = 0 THEN '~it~s late~' WHEN k % 2 = 0 THEN 'null'
                   ELSE '~ok ~' END || '}', '~', chr(39)), NULL
-    FROM told WHERE k % 3 = 0
+    FROM told WHERE sh IS NOT NULL AND k % 3 = 0
 ),
 raw AS (
     SELECT event_id, event_type,
@@ -164,6 +167,48 @@ _SILVER = {
     FROM raw WHERE length(order_id) > 0 AND length(order_status) > 0""",
 }
 
+
+
+def _entries(payload: str, event_type: str, fields: str, body: str) -> str:
+    """`body` over one row per entry of a payload array, `i` being its place."""
+    return f"""
+    SELECT {body}
+    FROM (SELECT *, json_extract(j, '$[' || i || ']') AS e FROM (
+        SELECT *, unnest(range(CAST(json_array_length(j) AS BIGINT))) AS i
+        FROM (SELECT *, {_valid(payload)} FROM raw WHERE event_type = '{event_type}')))
+    WHERE {fields}"""
+
+
+def _field(key: str) -> str:
+    return _json("e", "$", key)
+
+
+_SILVER_LINES = {
+    "order_lines": _entries(
+        "payload_items", "order.created",
+        f"CAST({_field('price')} AS DOUBLE) > 0 AND CAST({_field('freight_value')} AS DOUBLE) >= 0",
+        f"""order_id, CAST(i AS INTEGER) AS line, user_id, {_field('product_id')} AS product_id,
+               coalesce({_field('product_category_name')}, 'unassigned') AS product_category_name,
+               CAST({_field('price')} AS DOUBLE) AS product_price,
+               CAST({_field('freight_value')} AS DOUBLE) AS freight_value,
+               {_field('seller_id')} AS seller_id, {_field('seller_city')} AS seller_city,
+               upper({_field('seller_state')}) AS seller_state,
+               CAST({_field('seller_latitude')} AS DOUBLE) AS seller_latitude,
+               CAST({_field('seller_longitude')} AS DOUBLE) AS seller_longitude,
+               {_field('seller_zip_code')} AS seller_zip_code,
+               coalesce(CAST({_field('product_weight_g')} AS DOUBLE), 0) AS product_weight_g,
+               moment AS created_at,
+               round(CAST({_field('price')} AS DOUBLE) + CAST({_field('freight_value')} AS DOUBLE), 2) AS total_item_cost""",
+    ),
+    "payment_entries": _entries(
+        "payload_payments", "payment.processed", f"CAST({_field('payment_value')} AS DOUBLE) > 0",
+        f"""order_id, event_id, CAST(i AS INTEGER) AS entry,
+               coalesce(lower(trim({_field('payment_type')})), 'not_defined') AS payment_type,
+               coalesce(CAST({_field('payment_installments')} AS INTEGER), 1) AS payment_installments,
+               CAST({_field('payment_value')} AS DOUBLE) AS payment_value, moment AS approved_at""",
+    ),
+}
+
 _GOLD = {
     "payments_agg": """
     SELECT order_id, max(payment_type) AS payment_type, sum(payment_value) AS total_payment_value,
@@ -348,6 +393,16 @@ _BROKEN_WIRE = _case(
 )
 
 ORACLE: dict[str, str] = {
+    **{model: _with(sql) for model, sql in _SILVER_LINES.items()},
+    "order_totals": _with(
+        """SELECT coalesce(l.order_id, p.order_id) AS order_id, coalesce(lines, 0) AS lines,
+                  merchandise, freight, coalesce(payments, 0) AS payments, paid
+           FROM (SELECT order_id, count(*) AS lines, round(sum(product_price), 2) AS merchandise,
+                        round(sum(freight_value), 2) AS freight FROM order_lines GROUP BY 1) l
+           FULL JOIN (SELECT order_id, count(*) AS payments, round(sum(payment_value), 2) AS paid
+                      FROM payment_entries GROUP BY 1) p ON l.order_id = p.order_id""",
+        **_SILVER_LINES,
+    ),
     "raw_events": _RAW,
     "wire_decode": _RAW,
     "stream_to_bronze": _RAW,

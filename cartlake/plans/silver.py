@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cartlake import schemas as S
-from cartlake.functions.payload import spread_first_element, spread_object
+from cartlake.functions.payload import spread_elements, spread_first_element, spread_object
 from cartlake.functions.text import or_default, present, trim_space
 from cartlake.functions.typing import iso_timestamp, number, wall_clock
 from cartlake.operators.relational import latest_per_key
@@ -47,15 +47,11 @@ def _with_payload(events: DataFrame, event_type: str, payload: str, *keep: str)
     )
 
 
-def stg_order_items(
-    events: DataFrame, on_bad_value: str = "error", lenient: bool = False
-) -> DataFrame:
-    """First item of every created order with a price and no negative freight."""
+def _typed_items(items: DataFrame, on_bad_value: str, *keep: str) -> DataFrame:
+    """Items with a price and no negative freight, typed."""
     c = F.col
-    created = _with_payload(events, S.ORDER_CREATED, "payload_items", "order_id", "user_id")
-    item = spread_first_element(created, "payload_items", S.ITEM, lenient)
-    typed = item.select(
-        "order_id",
+    typed = items.select(
+        *keep,
         "user_id",
         "product_id",
         or_default(c("product_category_name"), "unassigned").alias("product_category_name"),
@@ -77,15 +73,27 @@ def stg_order_items(
     )
 
 
-def stg_order_payments(
+def stg_order_items(
     events: DataFrame, on_bad_value: str = "error", lenient: bool = False
 ) -> DataFrame:
-    """First entry of every processed payment that moved money."""
+    """First item of every created order with a price and no negative freight."""
+    created = _with_payload(events, S.ORDER_CREATED, "payload_items", "order_id", "user_id")
+    items = spread_first_element(created, "payload_items", S.ITEM, lenient)
+    return _typed_items(items, on_bad_value, "order_id")
+
+
+def order_lines(events: DataFrame, on_bad_value: str = "error", lenient: bool = False) -> DataFrame:
+    """All items of created orders by the same rules, numbered as in the payload from 0."""
+    created = _with_payload(events, S.ORDER_CREATED, "payload_items", "order_id", "user_id")
+    items = spread_elements(created, "payload_items", S.ITEM, "line", lenient)
+    return _typed_items(items, on_bad_value, "order_id", "line")
+
+
+def _typed_payments(entries: DataFrame, on_bad_value: str, *keep: str) -> DataFrame:
+    """Payment entries that moved money, typed."""
     c = F.col
-    processed = _with_payload(events, S.PAYMENT_PROCESSED, "payload_payments", "order_id")
-    entry = spread_first_element(processed, "payload_payments", S.PAYMENT, lenient)
-    return entry.select(
-        "order_id",
+    return entries.select(
+        *keep,
         or_default(F.lower(trim_space(c("payment_type"))), "not_defined").alias("payment_type"),
         or_default(number(c("payment_installments"), "int", on_bad_value), 1).alias(
             "payment_installments"
@@ -95,6 +103,40 @@ def stg_order_payments(
     ).where(c("payment_value") > 0)
 
 
+def stg_order_payments(
+    events: DataFrame, on_bad_value: str = "error", lenient: bool = False
+) -> DataFrame:
+    """First entry of every processed payment that moved money."""
+    processed = _with_payload(events, S.PAYMENT_PROCESSED, "payload_payments", "order_id")
+    entries = spread_first_element(processed, "payload_payments", S.PAYMENT, lenient)
+    return _typed_payments(entries, on_bad_value, "order_id")
+
+
+def payment_entries(events: DataFrame, on_bad_value: str = "error", lenient: bool = False) -> DataFrame:
+    """All entries of processed payments by the same rules, numbered as in the payload from 0."""
+    processed = _with_payload(events, S.PAYMENT_PROCESSED, "payload_payments", "order_id", "event_id")
+    entries = spread_elements(processed, "payload_payments", S.PAYMENT, "entry", lenient)
+    return _typed_payments(entries, on_bad_value, "order_id", "event_id", "entry")
+
+
+def order_totals(lines: DataFrame, entries: DataFrame) -> DataFrame:
+    """Lines, merchandise, freight and payments of every order that has either, over all its entries.
+
+    One union and one aggregation by order instead of a join of two; rows combine before the shuffle.
+    """
+    c = F.col
+    both = lines.select("order_id", "product_price", "freight_value").unionByName(
+        entries.select("order_id", "payment_value"), allowMissingColumns=True
+    )
+    return both.groupBy("order_id").agg(
+        F.count("product_price").alias("lines"),
+        F.round(F.sum("product_price"), 2).alias("merchandise"),
+        F.round(F.sum("freight_value"), 2).alias("freight"),
+        F.count("payment_value").alias("payments"),
+        F.round(F.sum(c("payment_value")), 2).alias("paid"),
+    )
+
+
 def stg_order_reviews(
     events: DataFrame, on_bad_value: str = "error", lenient: bool = False
 ) -> DataFrame:

@@ -1,8 +1,9 @@
 """Shop events derived from the order tables.
 
 The given tables hold orders, lines, customers, parts and suppliers but no shop
-events, so every order is told as the events it would have sent: created, paid
-once or twice, delivered, reviewed. The values are chosen to reach the corners of
+events, so every order is told as the events it would have sent: created with all its
+lines, paid once or twice and in one or two parts, delivered, reviewed. Orders without lines
+have an empty item list and are never delivered. The values are chosen to reach the corners of
 the models: empty ids, padded text, apostrophes, zero amounts, missing keys.
 """
 
@@ -17,61 +18,68 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _first_lines(lines: DataFrame) -> DataFrame:
-    """Lowest line number of each order, with the latest shipping date of all lines.
+def _text(*pieces) -> Column:
+    """Pieces joined to one text; columns as they are, the rest literal."""
+    return F.concat(
+        *[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in pieces]
+    )
 
-    Line numbers repeat within an order; among the copies the greatest value of
-    each column counts. Ordering by (-line number, value) gets both in one
-    aggregation, so lines are combined before the only exchange.
-    """
 
-    def of_first(name: str) -> Column:
-        pair = F.struct((-F.col("l_linenumber")).alias("n"), F.col(name).alias("v"))
-        return F.max(pair)["v"].alias(name)
+def _items(spark: SparkSession, folder: str) -> DataFrame:
+    """(l_orderkey, items, shipped): each order's lines as the text of a JSON array, and its latest shipping date.
+
+    Line numbers repeat within an order; among the copies the greatest value of each column counts. An
+    order's lines are gathered after that, so a list has one entry per line number.
+    """
+    c = F.col
+    names = ("l_partkey", "l_suppkey", "l_extendedprice", "l_tax", "l_shipdate")
+    lines = table(spark, folder, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(*[F.max(n).alias(n) for n in names])
+    nation = table(spark, folder, "nation").select("n_nationkey", c("n_name").alias("s_city"))
+    sellers = table(spark, folder, "supplier").join(nation, c("s_nationkey") == c("n_nationkey"))
+    sellers = sellers.select("s_suppkey", c("s_nationkey").alias("sn"), "s_city")
+    parts = table(spark, folder, "part").select("p_partkey", "p_type", "p_size")
+    lines = lines.join(parts, c("l_partkey") == c("p_partkey")).join(sellers, c("l_suppkey") == c("s_suppkey"))
 
-    picked = [of_first(n) for n in ("l_partkey", "l_suppkey", "l_extendedprice", "l_tax")]
-    return lines.groupBy("l_orderkey").agg(*picked, F.max("l_shipdate").alias("shipped"))
+    k, pk, sk, sn = c("l_orderkey"), c("l_partkey"), c("l_suppkey"), c("sn")
+    category = F.when(pk % 10 == 0, F.lit("null")).otherwise(_text("'", c("p_type"), "'"))
+    price = F.when(k % 97 == 0, F.lit("0.0")).otherwise(c("l_extendedprice").cast("string"))
+    weight = F.when(pk % 9 == 0, F.lit("")).otherwise(_text(", 'product_weight_g': ", c("p_size")))
+    item = _text(
+        "{'product_id': '", pk, "', 'product_category_name': ", category,
+        ", 'price': ", price,
+        ", 'freight_value': ", F.round(c("l_tax") * 100).cast("int"), ".25",
+        ", 'seller_id': '", sk, "', 'seller_city': '", c("s_city"),
+        "', 'seller_state': 'n", sn,
+        "', 'seller_zip_code': '", F.lpad(sk.cast("string"), 5, "0"),
+        "', 'seller_latitude': -", sn, ".5, 'seller_longitude': ", sn, ".25", weight, "}",
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("l_linenumber", item.alias("item"))))
+    texts = F.transform(ordered, lambda x: x["item"])
+    return lines.groupBy("l_orderkey").agg(
+        _text("[", F.array_join(texts, ", "), "]").alias("items"), F.max("l_shipdate").alias("shipped")
+    )
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order that has lines, with the names its events need."""
+    """One row per order, with its items and the names its events need."""
     nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
     buyers = (
         table(spark, folder, "customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select("c_custkey", F.col("c_nationkey").alias("cn"), F.col("n_name").alias("c_city"))
     )
-    sellers = (
-        table(spark, folder, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.col("s_nationkey").alias("sn"), F.col("n_name").alias("s_city"))
-    )
-    parts = table(spark, folder, "part").select("p_partkey", "p_type", "p_size")
-    # Both sides grow with the data and the lines come out partitioned by order, so
+    # Both sides grow with the data and the items come out partitioned by order, so
     # they are never broadcast; the events then start from evenly spread orders.
-    lines = _first_lines(table(spark, folder, "lineitem")).hint("merge")
+    items = _items(spark, folder).hint("merge")
     c = F.col
-    return (
-        table(spark, folder, "orders")
-        .join(lines, c("o_orderkey") == c("l_orderkey"))
-        .join(buyers, c("o_custkey") == c("c_custkey"))
-        .join(parts, c("l_partkey") == c("p_partkey"))
-        .join(sellers, c("l_suppkey") == c("s_suppkey"))
-    )
-
-
-def _text(*pieces) -> Column:
-    """Pieces joined to one text; columns as they are, the rest literal."""
-    return F.concat(
-        *[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in pieces]
-    )
+    orders = table(spark, folder, "orders").join(items, c("o_orderkey") == c("l_orderkey"), "left")
+    return orders.join(buyers, c("o_custkey") == c("c_custkey"))
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """All events of all orders, twenty text columns."""
     c = F.col
-    k, u, pk, sk = c("o_orderkey"), c("o_custkey"), c("l_partkey"), c("l_suppkey")
-    cn, sn, od, sh = c("cn"), c("sn"), c("o_orderdate"), c("shipped")
+    k, u, cn, od, sh = c("o_orderkey"), c("o_custkey"), c("cn"), c("o_orderdate"), c("shipped")
 
     # One letter per event of the order; the wide columns are computed after this,
     # so filters on the event type drop rows first.
@@ -80,8 +88,8 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
             F.lit("c"),
             F.when(k % 11 != 0, F.lit("p")),
             F.when(k % 5 == 0, F.lit("q")),
-            F.lit("d"),
-            F.when(k % 3 == 0, F.lit("r")),
+            F.when(sh.isNotNull(), F.lit("d")),
+            F.when(sh.isNotNull() & (k % 3 == 0), F.lit("r")),
         )
     )
     told = _orders(spark, folder).withColumn("kind", F.explode(kinds))
@@ -102,20 +110,6 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
         .when(delivered, sh)
         .otherwise(sh + days(1))
     )
-    category = F.when(pk % 10 == 0, F.lit("null")).otherwise(_text("'", c("p_type"), "'"))
-    price = F.when(k % 97 == 0, F.lit("0.0")).otherwise(c("l_extendedprice").cast("string"))
-    weight = F.when(pk % 9 == 0, F.lit("")).otherwise(
-        _text(", 'product_weight_g': ", c("p_size"))
-    )
-    items = _text(
-        "[{'product_id': '", pk, "', 'product_category_name': ", category,
-        ", 'price': ", price,
-        ", 'freight_value': ", F.round(c("l_tax") * 100).cast("int"), ".25",
-        ", 'seller_id': '", sk, "', 'seller_city': '", c("s_city"),
-        "', 'seller_state': 'n", sn,
-        "', 'seller_zip_code': '", F.lpad(sk.cast("string"), 5, "0"),
-        "', 'seller_latitude': -", sn, ".5, 'seller_longitude': ", sn, ".25", weight, "}]",
-    )
     method = (
         F.when(k % 4 == 0, F.lit(" Credit_Card "))
         .when(k % 4 == 1, F.lit(" boleto "))
@@ -125,7 +119,8 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     amount = F.when(k % 13 == 0, F.lit("0.0")).otherwise(c("o_totalprice").cast("string"))
     payment = _text(
         "[{'payment_type': '", method, "', 'payment_installments': ", k % 10 + 1,
-        ", 'payment_value': ", amount, "}]",
+        ", 'payment_value': ", amount, "}",
+        F.when(k % 6 == 0, F.lit(", {'payment_type': ' Gift_Card', 'payment_value': 5.5}")).otherwise(F.lit("")), "]",
     )
     voucher_payment = _text("[{'payment_type': 'voucher', 'payment_value': 10.5}]")
     message = (
@@ -151,7 +146,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
         .when(paid | voucher, F.lit("approved"))
         .when(delivered & (k % 17 == 0), F.lit(""))
         .when(delivered, F.lit(" Delivered ")),
-        "payload_items": F.when(created, items),
+        "payload_items": F.when(created, F.coalesce(c("items"), F.lit("[]"))),
         "payload_payments": F.when(paid, payment).when(voucher, voucher_payment),
         "payload_review": F.when(reviewed, review),
         "metadata_device": F.when(k % 4 == 0, F.lit("mobile"))

@@ -1,0 +1,73 @@
+"""All entries of payload arrays, at line grain."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import types as T
+
+from cartlake.functions.payload import spread_elements
+from cartlake.plans import silver
+from events import events, item
+
+
+def payload(*items):
+    return "[" + ", ".join(i[1:-1] for i in items) + "]"
+
+
+def test_every_line_of_an_order(spark):
+    rows = events(
+        spark,
+        {"event_id": "1", "order_id": "o1", "payload_items": payload(item(), item(price=3, freight_value=0), item(price=0))},
+        {"event_id": "2", "order_id": "o2", "payload_items": "[]"},
+        {"event_id": "3", "order_id": "o3", "payload_items": None},
+        {"event_id": "4", "order_id": "o4", "payload_items": "[7, 'x', " + item(price=5)[1:-1] + ", [1], null]"},
+        {"event_id": "5", "order_id": "o5", "payload_items": "{'price': 1}"},
+        {"event_id": "6", "order_id": "o6", "payload_items": "[{'price': 1"},
+    )
+    lines = silver.order_lines(rows)
+    found = sorted((r.order_id, r.line, r.product_price) for r in lines.collect())
+    first = silver.stg_order_items(rows).where("order_id = 'o1'").first()
+    assert [x[:2] for x in found] == [("o1", 0), ("o1", 1), ("o4", 2)]
+    assert found[1][2] == 3.0 and found[0][2] == first.product_price
+    one = lines.where("order_id = 'o1' AND line = 0").drop("line").first()
+    assert one.asDict() == first.asDict()
+
+
+def test_payments_in_parts(spark):
+    text = "[{'payment_type': ' Voucher ', 'payment_value': 2}, {'payment_type': 'pix', 'payment_installments': 3, 'payment_value': 4.5}, {'payment_value': 0}]"
+    rows = events(spark, {"event_id": "p", "event_type": "payment.processed", "payload_payments": text})
+    entries = silver.payment_entries(rows)
+    found = [(r.entry, r.payment_type, r.payment_installments, r.payment_value) for r in entries.orderBy("entry").collect()]
+    assert found == [(0, "voucher", 1, 2.0), (1, "pix", 3, 4.5)]
+    lines = silver.order_lines(events(spark, {"event_id": "c", "payload_items": payload(item(price=3, freight_value=1), item(price=4, freight_value=2))}))
+    total = silver.order_totals(lines, entries).first()
+    assert (total.lines, total.merchandise, total.freight, total.payments, total.paid) == (2, 7.0, 3.0, 2, 6.5)
+
+
+def test_bad_values_fail_or_are_null(spark):
+    rows = events(spark, {"payload_items": payload(item(), item(price="ten"))})
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        silver.order_lines(rows).collect()
+    assert silver.order_lines(rows, on_bad_value="null").count() == 1
+
+
+FIELDS = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+SCALARS = st.one_of(st.none(), st.integers(-9, 9), st.booleans(), st.text(alphabet="xy é", max_size=4))
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(SCALARS, st.dictionaries(st.sampled_from("abc"), SCALARS, max_size=3)), max_size=5))
+def test_elements_match_python(spark, elements):
+    df = spark.createDataFrame([(json.dumps(elements, ensure_ascii=False),)], "p string")
+    found = [(r.i, r.a, r.b) for r in spread_elements(df, "p", FIELDS, "i").collect()]
+
+    def text(value):
+        return None if value is None else json.dumps(value) if isinstance(value, bool) else str(value)
+
+    want = [
+        (i, *(text(e.get(k)) for k in "ab")) if isinstance(e, dict) else (i, None, None) for i, e in enumerate(elements)
+    ]
+    assert sorted(found, key=str) == sorted(want or [(None, None, None)], key=str)
