@@ -11,16 +11,17 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cartlake import schemas as S
-from cartlake.config import BRONZE, GOLD, GOLD_MODELS, SILVER, SILVER_MODELS, Storage
+from cartlake.config import BRONZE, GOLD, GOLD_MODELS, MONITORING, SILVER, SILVER_MODELS, Storage
 from cartlake.functions.typing import utc_wall_clock
 from cartlake.operators import checks, export, monitor
 from cartlake.plans import gold, silver
 from cartlake.plans.declared_checks import CHECKS
-from cartlake.plans.medallion import RunLog, bronze_freshness, build_gold, build_silver, raise_on_error, table_counts
+from cartlake.plans.medallion import RunLog, attempt_key, bronze_freshness, build_gold, build_silver, raise_on_error, table_counts
 from cartlake.session import shared_folder
 from cartlake.sources import derived, jsonl
 from cartlake.sources.warehouse import Warehouse
@@ -200,7 +201,8 @@ def _counts(spark, folder) -> DataFrame:
 
 def _snapshot(spark, folder) -> DataFrame:
     counts = _counts(spark, folder)
-    return monitor.volume_snapshot(counts, _history(counts), AS_OF, RUN_ID)
+    names = [*SILVER_MODELS, *GOLD_MODELS]
+    return monitor.volume_snapshot(counts, _history(counts), AS_OF, RUN_ID, tables=names)
 
 
 def _freshness(spark, folder) -> DataFrame:
@@ -378,15 +380,27 @@ def q_export_report(spark, folder):
     )
 
 
+def q_dq_log(spark, folder):
+    """The stored check log after two attempts of one run, the second of which is logged twice."""
+    lake = Warehouse(spark, Storage(root=_scratch(spark, folder, "dq-log")))
+    results = _results(spark, folder).withColumn("tested_at", monitor.instant(AS_OF))
+    for attempt in (1, 2, 2):
+        key = attempt_key("checks", RUN_ID, attempt)
+        lake.append(MONITORING, "dq_gate_log", checks.to_log(results, attempt), key=key)
+    return portable(lake.read(MONITORING, "dq_gate_log"))
+
+
 def q_run_log(spark, folder):
-    """Run log of a build over the stored layers, one row per checked layer."""
-    log = RunLog(warehouse(spark, folder), RUN_ID)
+    """The stored run log of two attempts, one row per checked layer; the second attempt is logged twice."""
+    lake = Warehouse(spark, Storage(root=_scratch(spark, folder, "run-log")))
     gates = checks.gate(_results(spark, folder)).collect()
-    for row in sorted(gates, key=lambda r: r["layer"]):
-        error = None if row["open"] else f"{row['failed']} checks failed"
-        log.add(f"{row['layer']}_gate", "success" if row["open"] else "failed", log.clock(), error)
-    rows = spark.createDataFrame(log.rows, S.RUN_LOG)
-    return rows.select("dag_id", "run_id", "task_id", "status", "error_message")
+    for attempt in (1, 2, 2):
+        log = RunLog(lake, RUN_ID, attempt=attempt, clock=lambda: datetime.fromisoformat(f"{AS_OF}+00:00"))
+        for row in gates:
+            error = None if row["open"] else f"{row['failed']} checks failed"
+            log.add(f"{row['layer']}_gate", "success" if row["open"] else "failed", log.clock(), error)
+        log.flush()
+    return portable(lake.read(MONITORING, "pipeline_run_log"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -422,4 +436,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wire_rejects": q_wire_rejects,
     "export_report": q_export_report,
     "run_log": q_run_log,
+    "dq_log": q_dq_log,
 }

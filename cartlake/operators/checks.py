@@ -35,8 +35,9 @@ class Check:
     argument: tuple | str | None = None
 
     @property
-    def full_name(self) -> str:
-        return f"{self.kind}_{self.model}_{self.column}"
+    def test_name(self) -> str:
+        """The kind; expressions are told apart by model and column."""
+        return f"{self.kind}_{self.model}_{self.column}" if self.kind == "expression_is_true" else self.kind
 
 
 class GateClosed(RuntimeError):
@@ -96,17 +97,6 @@ def orphan_keys(child: DataFrame, key: str, parent: DataFrame, parent_key: str)
 # Naming and status
 
 
-def classify_test(full_name: Column) -> Column:
-    """Kind of a check from its full name; unknown kinds keep the full name."""
-    return (
-        F.when(full_name.startswith("unique_"), "unique")
-        .when(full_name.startswith("not_null_"), "not_null")
-        .when(full_name.contains("relationships_"), "relationships")
-        .when(full_name.contains("accepted_values_"), "accepted_values")
-        .otherwise(full_name)
-    )
-
-
 def classify_layer(model: Column) -> Column:
     return (
         F.when(model.startswith("stg_"), "silver")
@@ -147,10 +137,10 @@ def _row_check(check: Check) -> str:
 def _as_rows(counts: DataFrame, checks: list[Check]) -> DataFrame:
     """One row of counts f0, f1, ... to one labelled row per check."""
     rows = ", ".join(
-        ", ".join(map(_literal, (c.model, c.column, c.full_name, c.severity))) + f", f{i}"
+        ", ".join(map(_literal, (c.model, c.column, c.test_name, c.severity))) + f", f{i}"
         for i, c in enumerate(checks)
     )
-    names = "model_name, column_name, full_test_name, severity, failures"
+    names = "model_name, column_name, test_name, severity, failures"
     return counts.selectExpr(f"stack({len(checks)}, {rows}) AS ({names})")
 
 
@@ -163,13 +153,14 @@ def _row_checks(table: DataFrame, checks: list[Check]) -> DataFrame:
     return _as_rows(counts, checks)
 
 
-def _key_rows(number: int, table: DataFrame, key: str, parent: bool) -> DataFrame:
-    return table.where(f"`{key}` IS NOT NULL").selectExpr(
-        f"{number} AS check_no",
-        f"CAST(`{key}` AS STRING) AS key",
-        f"{0 if parent else 1}L AS child_rows",
-        f"{parent} AS is_parent",
-    )
+def _key_rows(table: DataFrame, keys: list[tuple[int, str, bool]]) -> DataFrame:
+    """One row per row of the table and (check, key column, whether it is the parent's) without null keys.
+
+    All keys of a table come from one scan, however many checks ask for them.
+    """
+    rows = ", ".join(f"{number}, CAST(`{key}` AS STRING), {0 if parent else 1}L, {str(parent).lower()}" for number, key, parent in keys)
+    stacked = table.selectExpr(f"stack({len(keys)}, {rows}) AS (check_no, key, child_rows, is_parent)")
+    return stacked.where("key IS NOT NULL")
 
 
 def _key_checks(tables: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
@@ -179,12 +170,13 @@ def _key_checks(tables: Mapping[str, DataFrame], checks: list[Check]) -> DataFra
     check with all its rows when no parent row carries it. No join is needed, and
     rows combine before the only wide exchange.
     """
-    rows = []
+    keys: dict[str, list[tuple[int, str, bool]]] = {}
     for number, check in enumerate(checks):
-        rows.append(_key_rows(number, tables[check.model], check.column, parent=False))
+        keys.setdefault(check.model, []).append((number, check.column, False))
         if check.kind == "relationships":
             parent, parent_key = check.argument
-            rows.append(_key_rows(number, tables[parent], parent_key, parent=True))
+            keys.setdefault(parent, []).append((number, parent_key, True))
+    rows = [_key_rows(tables[model], wanted) for model, wanted in keys.items()]
     per_key = (
         _union(rows)
         .groupBy("check_no", "key")
@@ -229,7 +221,7 @@ def run_checks(
         classify_layer(F.col("model_name")).alias("layer"),
         "model_name",
         "column_name",
-        classify_test(F.col("full_test_name")).alias("test_name"),
+        "test_name",
         "severity",
         _status(severity, failures).alias("status"),
         failures.alias("failure_count"),
@@ -238,12 +230,12 @@ def run_checks(
     )
 
 
-def to_log(results: DataFrame) -> DataFrame:
+def to_log(results: DataFrame, attempt: int = 1) -> DataFrame:
     """Results in the columns of the check log."""
     return results.select(
         "run_id", "layer", "model_name", "test_name", "status",
         F.col("failure_count").cast("bigint").alias("failure_count"),
-        "error_detail", "tested_at",
+        "error_detail", "tested_at", F.lit(attempt).alias("attempt"),
     )
 
 

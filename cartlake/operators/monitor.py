@@ -160,16 +160,17 @@ def volume_snapshot(
     as_of: datetime | str,
     run_id: str,
     limits: MonitorLimits = MonitorLimits(),
+    tables: list[str] | None = None,
 ) -> DataFrame:
     """Counts with their change against the recent mean.
 
-    Without history, or with a mean of zero, the change is null and no anomaly. A
+    `tables` names the counted tables, so that the history of others is not read. Without history, or with a mean of zero, the change is null and no anomaly. A
     table that could not be counted is one.
     """
     if "count_error" not in counts.columns:
         counts = counts.withColumn("count_error", F.lit(None).cast("string"))
     now = instant(as_of)
-    joined = counts.join(mean_counts(history, as_of, limits), "table_name", "left")
+    joined = counts.join(mean_counts(history, as_of, limits, tables), "table_name", "left")
     failed = F.col("count_error").isNotNull()
     change = F.when(~failed, percent_change(F.col("record_count"), F.col("mean_count")))
     measured = joined.withColumn("change", change)
@@ -197,11 +198,11 @@ def layer_column(table_name: Column) -> Column:
     )
 
 
-def to_volume_log(snapshot: DataFrame) -> DataFrame:
+def to_volume_log(snapshot: DataFrame, attempt: int = 1) -> DataFrame:
     return snapshot.select(
         "run_id", "layer", "table_name", "record_count", "snapshot_hour",
         F.col("pct_change_vs_avg").cast("decimal(18,2)").alias("pct_change_vs_avg"),
-        "is_anomaly", "created_at",
+        "is_anomaly", "created_at", F.lit(attempt).alias("attempt"),
     )
 
 

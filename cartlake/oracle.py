@@ -486,8 +486,16 @@ ORACLE: dict[str, str] = {
     "run_log": _with(
         f"""SELECT '{BUILD_JOB}' AS dag_id, run_id, layer || '_gate' AS task_id,
             CASE WHEN failed = 0 THEN 'success' ELSE 'failed' END AS status,
-            CASE WHEN failed > 0 THEN failed || ' checks failed' END AS error_message
+            CASE WHEN failed > 0 THEN failed || ' checks failed' END AS error_message,
+            CAST(NULL AS VARCHAR) AS log_url, TIMESTAMP '{AS_OF}' AS started_at,
+            TIMESTAMP '{AS_OF}' AS finished_at, CAST(NULL AS DOUBLE) AS duration_sec,
+            TIMESTAMP '{AS_OF}' AS created_at, attempt
         FROM (SELECT run_id, layer, count(*) FILTER (status = 'fail') AS failed
-              FROM ({_checks()}) GROUP BY run_id, layer)"""
+              FROM ({_checks()}) GROUP BY run_id, layer), (VALUES (1), (2)) AS attempts(attempt)"""
+    ),
+    "dq_log": _with(
+        f"""SELECT run_id, layer, model_name, test_name, status, failure_count, error_detail,
+            TIMESTAMP '{AS_OF}' AS tested_at, attempt
+        FROM ({_checks()}), (VALUES (1), (2)) AS attempts(attempt)"""
     ),
 }

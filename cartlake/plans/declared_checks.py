@@ -7,28 +7,27 @@ from cartlake.operators.checks import ERROR, WARN, Check
 # Columns that must not be null, by severity.
 _NOT_NULL = {
     "stg_customers": {
-        ERROR: "user_id customer_id customer_zip_code",
-        WARN: "customer_city customer_state customer_latitude customer_longitude",
+        ERROR: ("user_id", "customer_id", "customer_zip_code"),
+        WARN: ("customer_city", "customer_state", "customer_latitude", "customer_longitude"),
     },
     "stg_order_items": {
-        ERROR: "order_id user_id product_id product_price freight_value seller_id "
-        "total_item_cost created_at",
-        WARN: "product_category_name seller_city seller_state",
+        ERROR: ("order_id", "user_id", "product_id", "product_price", "freight_value", "seller_id", "total_item_cost", "created_at"),
+        WARN: ("product_category_name", "seller_city", "seller_state"),
     },
     "stg_order_payments": {
-        ERROR: "order_id payment_type payment_installments payment_value",
-        WARN: "approved_at",
+        ERROR: ("order_id", "payment_type", "payment_installments", "payment_value"),
+        WARN: ("approved_at",),
     },
-    "stg_order_status_history": {ERROR: "order_id order_status status_updated_at"},
-    "stg_order_reviews": {ERROR: "order_id review_score", WARN: "review_id reviewed_at"},
-    "dim_geography": {ERROR: "zip_code"},
-    "dim_categories": {ERROR: "category_key"},
-    "dim_customers": {ERROR: "customer_unique_id"},
-    "dim_products": {ERROR: "product_id", WARN: "category_key"},
-    "dim_sellers": {ERROR: "seller_id"},
-    "dim_reviews": {ERROR: "review_id"},
-    "dim_order_attributes": {ERROR: "order_id"},
-    "fct_orders": {ERROR: "order_id customer_unique_key product_id seller_id"},
+    "stg_order_status_history": {ERROR: ("order_id", "order_status", "status_updated_at")},
+    "stg_order_reviews": {ERROR: ("order_id", "review_score"), WARN: ("review_id", "reviewed_at")},
+    "dim_geography": {ERROR: ("zip_code",)},
+    "dim_categories": {ERROR: ("category_key",)},
+    "dim_customers": {ERROR: ("customer_unique_id",)},
+    "dim_products": {ERROR: ("product_id",), WARN: ("category_key",)},
+    "dim_sellers": {ERROR: ("seller_id",)},
+    "dim_reviews": {ERROR: ("review_id",)},
+    "dim_order_attributes": {ERROR: ("order_id",)},
+    "fct_orders": {ERROR: ("order_id", "customer_unique_key", "product_id", "seller_id")},
 }
 
 # Columns declared unique, all of severity error. Several of these
@@ -70,7 +69,7 @@ CHECKS: tuple[Check, ...] = (
         Check(model, column, "not_null", severity)
         for model, by_severity in _NOT_NULL.items()
         for severity, columns in by_severity.items()
-        for column in columns.split()
+        for column in columns
     ],
     *[Check(model, column, "unique", ERROR) for model, column in _UNIQUE.items()],
     *_OTHER,

@@ -6,8 +6,9 @@ from collections.abc import Callable, Collection
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartlake import schemas as S
 from cartlake.config import BRONZE, GOLD, GOLD_MODELS, MONITORING, SILVER, SILVER_MODELS, MonitorLimits
@@ -26,11 +27,12 @@ def utc_now() -> datetime:
 
 @dataclass
 class RunLog:
-    """Rows of the run log, appended when the run ends."""
+    """Rows of the run log, appended when the run ends; those of one attempt once only."""
 
     warehouse: Warehouse
     run_id: str
     dag_id: str = BUILD_JOB
+    attempt: int = 1
     clock: Callable[[], datetime] = utc_now
     rows: list = field(default_factory=list)
 
@@ -38,7 +40,7 @@ class RunLog:
         finished = self.clock()
         text = None if error is None else (str(error)[:2000] or "Unknown error")
         self.rows.append(
-            (self.dag_id, self.run_id, task_id, status, text, None, started, finished, None, finished)
+            (self.dag_id, self.run_id, task_id, status, text, None, started, finished, None, finished, self.attempt)
         )
 
     def step(self, task_id: str, work: Callable[[], object]) -> object:
@@ -51,10 +53,16 @@ class RunLog:
             raise
 
     def flush(self) -> None:
-        self.warehouse.append_rows(MONITORING, "pipeline_run_log", self.rows, S.RUN_LOG)
+        key = attempt_key(self.dag_id, self.run_id, self.attempt)
+        self.warehouse.append_rows(MONITORING, "pipeline_run_log", self.rows, S.RUN_LOG, key)
         self.rows = []
 
 
+def attempt_key(*parts: object) -> str:
+    """Key under which the log rows of one step of one attempt of a run are written."""
+    return "/".join(quote(str(p), safe="") for p in parts)
+
+
 class BuildFailed(RuntimeError):
     pass
 
@@ -111,11 +119,18 @@ def build_silver(warehouse: Warehouse, **options) -> list[BuildResult]:
     return replace_all(warehouse, SILVER, silver_tables(events, **options))
 
 
-def build_gold(warehouse: Warehouse) -> list[BuildResult]:
-    """Rebuilds the gold tables from the stored silver tables."""
+def build_gold(warehouse: Warehouse, failed: Collection[str] = ()) -> list[BuildResult]:
+    """Rebuilds the gold tables from the stored silver tables.
+
+    Models that need one of the `failed` silver tables are skipped: they would be built from the rows of an
+    earlier run and pass for this one's.
+    """
     warehouse.require(SILVER, SILVER_MODELS)
     silver = {m: warehouse.read(SILVER, m) for m in SILVER_MODELS}
-    return replace_all(warehouse, GOLD, gold_tables(silver))
+    stale = {m: sorted(set(needs) & set(failed)) for m, (_, needs) in GOLD_BUILDERS.items()}
+    tables = {m: t for m, t in gold_tables(silver).items() if not stale[m]}
+    skipped = [BuildResult(m, "skipped", f"failed: {', '.join(x)}") for m, x in stale.items() if x]
+    return replace_all(warehouse, GOLD, tables) + skipped
 
 
 def raise_on_error(results: list[BuildResult]) -> None:
@@ -129,11 +144,12 @@ def stored(warehouse: Warehouse, layer: str, models) -> dict[str, DataFrame]:
 
 
 def check_layer(
-    warehouse: Warehouse, layer: str, run_id: str, tested_at: datetime, failed: Collection[str] = ()
+    warehouse: Warehouse, layer: str, run_id: str, tested_at: datetime, failed: Collection[str] = (), attempt: int = 1
 ) -> DataFrame:
     """Runs the declared checks of a layer on its stored tables and logs them.
 
-    Gives the rows of this call only, so a run repeated under its id is judged anew. Checks that
+    Gives the rows of this call only, so a run repeated under its id is judged anew; the log keeps one
+    set of rows per attempt. Checks that
     need a table which is missing, or whose model is in `failed`, are logged as errors.
     """
     names = SILVER_MODELS if layer == SILVER else GOLD_MODELS
@@ -145,24 +161,25 @@ def check_layer(
         if not absent:
             runnable.append(check)
             continue
-        name = check.full_name if check.kind == "expression_is_true" else check.kind
         detail = f"No table of this run: {', '.join(absent)}"
-        rows.append((run_id, layer, check.model, name, "error", 0, detail, tested_at))
+        rows.append((run_id, layer, check.model, check.test_name, "error", 0, detail, tested_at, attempt))
     if runnable:
         # One row a check. Fixed here, so the gate judges what was logged.
-        rows += checks.to_log(checks.run_checks(tables, runnable, run_id, tested_at)).collect()
+        rows += checks.to_log(checks.run_checks(tables, runnable, run_id, tested_at), attempt).collect()
     results = warehouse.spark.createDataFrame(rows, S.DQ_LOG)
-    warehouse.append(MONITORING, "dq_gate_log", results.coalesce(1))
+    key = attempt_key("checks", layer, run_id, attempt)
+    warehouse.append(MONITORING, "dq_gate_log", results.coalesce(1), key=key)
     return results
 
 
-def log_builds(warehouse: Warehouse, layer: str, run_id: str, results, tested_at) -> None:
+def log_builds(warehouse: Warehouse, layer: str, run_id: str, results, tested_at, attempt: int = 1) -> None:
     """Build outcomes go to the check log too, under the model's own name."""
     rows = [
-        (run_id, layer, r.model, r.model, r.status, 0, (r.error or "")[:2000] or None, tested_at)
+        (run_id, layer, r.model, r.model, r.status, 0, (r.error or "")[:2000] or None, tested_at, attempt)
         for r in results
     ]
-    warehouse.append_rows(MONITORING, "dq_gate_log", rows, S.DQ_LOG)
+    key = attempt_key("builds", layer, run_id, attempt)
+    warehouse.append_rows(MONITORING, "dq_gate_log", rows, S.DQ_LOG, key)
 
 
 def run_build(
@@ -171,26 +188,34 @@ def run_build(
     sink: Callable[[DataFrame, str], str] | None = None,
     gate_mode: str = "log_only",
     clock: Callable[[], datetime] = utc_now,
+    attempt: int = 1,
     **options,
 ) -> DataFrame | None:
     """One full refresh. Returns the export report, if there is a sink.
 
+    A retry runs under the same id with the next attempt, and its log rows stay apart; rows of an
+    attempt that were logged already are not logged again.
+
     Checks are logged; they stop the run only with `gate_mode="enforce"`. The first
     failed task is written to the run log and ends the run.
     """
-    log = RunLog(warehouse, run_id, clock=clock)
+    log = RunLog(warehouse, run_id, attempt=attempt, clock=clock)
     started = clock()
+    failed: list[str] = []
 
     def silver_quality_gate():
         built = build_silver(warehouse, **options)
-        log_builds(warehouse, SILVER, run_id, built, clock())
-        failed = [r.model for r in built if r.status == "error"]
-        results = check_layer(warehouse, SILVER, run_id, clock(), failed)
+        log_builds(warehouse, SILVER, run_id, built, clock(), attempt)
+        failed.extend(r.model for r in built if r.status == "error")
+        results = check_layer(warehouse, SILVER, run_id, clock(), failed, attempt)
         checks.enforce(results, SILVER, gate_mode)
 
     def gold_build():
-        raise_on_error(build_gold(warehouse))
-        results = check_layer(warehouse, GOLD, run_id, clock())
+        built = build_gold(warehouse, failed)
+        skipped = [r for r in built if r.status == "skipped"]
+        log_builds(warehouse, GOLD, run_id, skipped, clock(), attempt)
+        raise_on_error(built)
+        results = check_layer(warehouse, GOLD, run_id, clock(), [r.model for r in skipped], attempt)
         checks.enforce(results, GOLD, gate_mode)
 
     def gold_export():
@@ -248,9 +273,11 @@ def run_monitoring(
     run_id: str,
     as_of: datetime,
     limits: MonitorLimits = MonitorLimits(),
+    attempt: int = 1,
 ) -> str:
-    """One monitoring run: freshness, volume and verdict, each logged."""
+    """One monitoring run: freshness, volume and verdict, each logged once per attempt."""
     spark = warehouse.spark
+    key = attempt_key(MONITOR_JOB, run_id, attempt)
     try:
         fresh = bronze_freshness(warehouse, as_of, run_id, limits)
         row = fresh.head()
@@ -258,26 +285,30 @@ def run_monitoring(
         fresh = monitor.unreadable_freshness(spark, as_of, run_id, limits=limits)
         row = fresh.head()
     fresh = spark.createDataFrame([row], fresh.schema)
-    warehouse.append(MONITORING, "freshness_log", fresh.coalesce(1))
+    logged = fresh.withColumn("attempt", F.lit(attempt))
+    warehouse.append(MONITORING, "freshness_log", logged.coalesce(1), key=key)
 
     counts = table_counts(warehouse)
     if warehouse.exists(MONITORING, "volume_snapshot_log"):
         history = warehouse.read(MONITORING, "volume_snapshot_log")
     else:
         history = spark.createDataFrame([], S.VOLUME_LOG)
-    snapshot = monitor.volume_snapshot(counts, history, as_of, run_id, limits)
+    names = [*SILVER_MODELS, *GOLD_MODELS]
+    snapshot = monitor.volume_snapshot(counts, history, as_of, run_id, limits, names)
     # Three small results of at most 13 rows: fixed here, so the verdict judges what
     # was logged and the new snapshot never counts as its own history.
     rows = snapshot.collect()
     snapshot = spark.createDataFrame(rows, snapshot.schema)
-    warehouse.append(MONITORING, "volume_snapshot_log", monitor.to_volume_log(snapshot).coalesce(1))
+    logged = monitor.to_volume_log(snapshot, attempt)
+    warehouse.append(MONITORING, "volume_snapshot_log", logged.coalesce(1), key=key)
 
     verdict = monitor.health(fresh, snapshot, run_id).head()
     warehouse.append_rows(
         MONITORING,
         "pipeline_run_log",
         [(MONITOR_JOB, run_id, verdict["task_id"], verdict["status"], verdict["error_message"],
-          None, as_of, as_of, None, as_of)],
+          None, as_of, as_of, None, as_of, attempt)],
         S.RUN_LOG,
+        key,
     )
     return verdict["status"]

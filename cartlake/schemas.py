@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import types as T
 
 
-def _strings(names: str) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in names.split()])
+def _strings(names: Iterable[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
 # The twenty text columns of the event record, in model order.
-EVENT_COLUMNS = (
-    "event_id event_type timestamp user_id session_id order_id order_status "
-    "payload_items payload_payments payload_review metadata_device metadata_os "
-    "customer_id customer_city customer_state customer_zip_code "
-    "customer_latitude customer_longitude estimated_delivery_date actual_delivery_date"
-).split()
-EVENT = _strings(" ".join(EVENT_COLUMNS))
+EVENT_COLUMNS = [
+    "event_id", "event_type", "timestamp", "user_id", "session_id", "order_id", "order_status",
+    "payload_items", "payload_payments", "payload_review", "metadata_device", "metadata_os",
+    "customer_id", "customer_city", "customer_state", "customer_zip_code", "customer_latitude",
+    "customer_longitude", "estimated_delivery_date", "actual_delivery_date",
+]
+EVENT = _strings(EVENT_COLUMNS)
 EVENT_PARTITION = "event_type"
 
 # Records that could not be read are kept beside the events, under an event type of their own.
@@ -30,12 +32,16 @@ PAYMENT_PROCESSED = "payment.processed"
 ORDER_REVIEWED = "order.reviewed"
 ORDER_DELIVERED = "order.delivered"
 
-ITEM = _strings(
-    "product_id product_category_name price freight_value seller_id seller_city "
-    "seller_state seller_latitude seller_longitude seller_zip_code product_weight_g"
-)
-PAYMENT = _strings("payment_type payment_installments payment_value")
-REVIEW = _strings("review_id review_score review_comment_title review_comment_message")
+ITEM = _strings((
+    "product_id", "product_category_name", "price", "freight_value", "seller_id", "seller_city",
+    "seller_state", "seller_latitude", "seller_longitude", "seller_zip_code", "product_weight_g",
+))
+PAYMENT = _strings((
+    "payment_type", "payment_installments", "payment_value",
+))
+REVIEW = _strings((
+    "review_id", "review_score", "review_comment_title", "review_comment_message",
+))
 
 # Stored tables, with the types the models give them.
 TABLES = {
@@ -82,24 +88,25 @@ TABLES = {
         "estimated_delivery_date date, actual_delivery_date timestamp_ntz, "
         "count_delayed_order int, order_timestamp timestamp"
     ),
-    # Monitoring logs.
+    # Monitoring logs. The attempt tells a repeated run's rows from those before.
     "pipeline_run_log": (
         "dag_id string, run_id string, task_id string, status string, error_message string, "
         "log_url string, started_at timestamp, finished_at timestamp, "
-        "duration_sec decimal(10,2), created_at timestamp"
+        "duration_sec decimal(10,2), created_at timestamp, attempt int"
     ),
     "dq_gate_log": (
         "run_id string, layer string, model_name string, test_name string, status string, "
-        "failure_count bigint, error_detail string, tested_at timestamp"
+        "failure_count bigint, error_detail string, tested_at timestamp, attempt int"
     ),
     "volume_snapshot_log": (
         "run_id string, layer string, table_name string, record_count bigint, "
         "snapshot_hour timestamp, pct_change_vs_avg decimal(18,2), is_anomaly boolean, "
-        "created_at timestamp"
+        "created_at timestamp, attempt int"
     ),
     "freshness_log": (
         "run_id string, table_name string, max_event_time timestamp, "
-        "freshness_min decimal(10,2), status string, threshold_min int, checked_at timestamp"
+        "freshness_min decimal(10,2), status string, threshold_min int, checked_at timestamp, "
+        "attempt int"
     ),
 }
 RUN_LOG, DQ_LOG = TABLES["pipeline_run_log"], TABLES["dq_gate_log"]

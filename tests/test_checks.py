@@ -132,18 +132,21 @@ def test_more_failures_never_open_the_gate(spark, bad, where):
     assert before or not after
 
 
-@pytest.mark.parametrize(
-    "name, kind",
-    [
-        ("unique_stg_customers_user_id", "unique"), ("not_null_dim_sellers_seller_id", "not_null"),
-        ("relationships_fct_orders_x", "relationships"), ("source_relationships_a", "relationships"),
-        ("accepted_values_x", "accepted_values"), ("expression_is_true_x", "expression_is_true_x"),
-        ("my_unique_x", "my_unique_x"),
-    ],
-)
-def test_classify_test(spark, name, kind):
-    df = spark.createDataFrame([(name,)], "n string")
-    assert df.select(checks.classify_test(F.col("n"))).head()[0] == kind
+def test_names_of_tests():
+    assert Check("t", "k", "unique").test_name == "unique"
+    assert Check("t", "k", "expression_is_true", argument="> 0").test_name == "expression_is_true_t_k"
+
+
+def test_each_table_is_scanned_once_for_its_keys(spark, tmp_path):
+    tables = {}
+    for name in ("stg_t", "dim_p"):
+        spark.createDataFrame([("a", "b", "c")], "x string, y string, z string").write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    declared = [Check("stg_t", c, "unique") for c in "xyz"] + [Check("dim_p", "x", "unique")]
+    declared += [Check("stg_t", c, "relationships", argument=("dim_p", c)) for c in "xyz"]
+    counted = checks.count_failures(tables, declared)
+    assert counted._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    assert [r["failures"] for r in counted.collect()] == [0] * 7
 
 
 def test_classify_layer(spark):
