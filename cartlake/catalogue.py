@@ -9,6 +9,7 @@ gold tables, as they do in production. Each is landed once per session and folde
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -25,7 +26,7 @@ from cartlake.plans.medallion import RunLog, attempt_key, bronze_freshness, buil
 from cartlake.session import shared_folder
 from cartlake.sources import derived, jsonl
 from cartlake.sources.warehouse import Warehouse
-from cartlake.streaming import ingest
+from cartlake.streaming import avro, ingest
 
 RUN_ID = "run-1"
 AS_OF = "2001-11-05 01:37:30"  # shortly after the newest derived event
@@ -367,6 +368,23 @@ def q_wire_rejects(spark, folder):
     return _rejects(lake)
 
 
+def _second_schema() -> dict:
+    """A later version of the event: other order, one field more, one less."""
+    first = json.loads(S.avro_schema())
+    fields = [f for f in reversed(first["fields"]) if f["name"] != "session_id"]
+    return first | {"fields": [*fields[:3], {"name": "campaign", "type": "long"}, *fields[3:]]}
+
+
+def q_wire_avro(spark, folder):
+    """Avro records of two schema versions in one stream, each decoded by the id in its header."""
+    events = bronze(spark, folder)
+    schemas = {1: json.loads(S.avro_schema()), 300: _second_schema()}
+    odd = F.col("order_id").cast("bigint") % 2 == 1
+    wire = avro.encode(events.where(odd), schemas[1], 1).unionByName(avro.encode(events.where(~odd), schemas[300], 300))
+    path = _once(spark, folder, "wire-avro", wire.write.parquet)
+    return _drain(spark, folder, "avro", avro.decode(ingest.file_records(spark, path), schemas))
+
+
 # Export and logs
 
 
@@ -434,6 +452,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "jsonl_load": q_jsonl_load,
     "jsonl_rejects": q_jsonl_rejects,
     "wire_rejects": q_wire_rejects,
+    "wire_avro": q_wire_avro,
     "export_report": q_export_report,
     "run_log": q_run_log,
     "dq_log": q_dq_log,

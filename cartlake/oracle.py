@@ -410,6 +410,11 @@ ORACLE: dict[str, str] = {
     "jsonl_load": _LINES,
     # Lines of spaces are skipped: neither events nor rejects.
     "jsonl_rejects": _with(_rejected(_BROKEN_LINES, "k % 37 = 0 AND k % 23 <> 0 AND k % 29 <> 0 AND k % 31 <> 0")),
+    # The second schema, of orders with an even number, has no session.
+    "wire_avro": _with(
+        """SELECT * EXCLUDE (moment) REPLACE (
+            CASE WHEN CAST(order_id AS BIGINT) % 2 = 1 THEN session_id END AS session_id) FROM raw"""
+    ),
     "wire_rejects": _with(_rejected(_BROKEN_WIRE, "false")),
     **{model: _with(f"SELECT * FROM {model}") for model in _MODELS},
     "payload_losses": _with(_losses()),
