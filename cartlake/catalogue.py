@@ -1,8 +1,8 @@
 """The registered queries: every job of the lake over the given tables.
 
 The given tables hold no shop events, so Spark first derives them and lands them
-as the bronze table, partitioned by event type, in the shared folder. Models read
-that table. Jobs over whole layers (checks, volume, export) read stored silver and
+as the bronze table, partitioned by event type, in the shared folder. Silver models read
+that table. Gold models and jobs over whole layers (checks, volume, export) read stored silver and
 gold tables, as they do in production. Each is landed once per session and folder.
 """
 
@@ -111,8 +111,8 @@ def _gold_query(model: str):
     build, needs = gold.GOLD[model]
 
     def run(spark, folder):
-        events = silver.raw_events(bronze(spark, folder))
-        return portable(build(*[silver.SILVER[name](events) for name in needs]))
+        tables = stored_layers(spark, folder)
+        return portable(build(*[tables[name] for name in needs]))
 
     return run
 
@@ -122,11 +122,11 @@ def q_raw_events(spark, folder):
 
 
 def q_payments_agg(spark, folder):
-    return gold.payments_agg(silver.stg_order_payments(bronze(spark, folder)))
+    return gold.payments_agg(stored_layers(spark, folder)["stg_order_payments"])
 
 
 def q_delivery_dates(spark, folder):
-    return portable(gold.delivery_dates(silver.stg_order_status_history(bronze(spark, folder))))
+    return portable(gold.delivery_dates(stored_layers(spark, folder)["stg_order_status_history"]))
 
 
 def q_order_lines(spark, folder):
