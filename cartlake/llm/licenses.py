@@ -82,9 +82,13 @@ def _groups(templates: list[tuple[str, str]], percent: int):
         yield k, longest, sorted(guards), members
 
 
-def _shingles(words: str, k: int) -> str:
-    """SQL for the distinct k-word shingles of an array of at least k words."""
-    return f"array_distinct(transform(sequence(1, size({words}) - {k - 1}), i -> array_join(slice({words}, i, {k}), ' ')))"
+def _quoted(words: list[str]) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
+def _shingles(words: str, k: int | str) -> str:
+    """SQL for the distinct k-word shingles of an array of at least k words; k is a number or a column."""
+    return f"array_distinct(transform(sequence(1, size({words}) - {k} + 1), i -> array_join(slice({words}, i, {k}), ' ')))"
 
 
 _BAND_VALUES = f"transform(sequence(1, {BANDS}), b -> named_struct('b', b, 'v', array_min(transform(sh, s -> xxhash64(s, b)))))"
@@ -110,30 +114,33 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, percent: int = PER
     # Ascii-only case folding in the filter would lose words that lower() makes ascii, such as the Kelvin sign.
     maybe = given.where(F.col("text").rlike("(?iu)" + "|".join(every)))
     maybe = maybe.selectExpr("doc_id", "filter(split(lower(text), '[^a-z0-9]+'), w -> w <> '') AS words")
-    found = None
-    for k, longest, guards, members in groups:
+    # Places of guard words of any group; each group looks among these few only, so texts are read and split once.
+    maybe = maybe.where("size(words) > 0").selectExpr(
+        "doc_id", "words", f"filter(sequence(0, size(words) - 1), p -> words[p] IN ({_quoted(every)})) AS spots"
+    )
+    windows, listed = [], []
+    for g, (k, longest, guards, members) in enumerate(groups):
         width = longest + (longest + 1) // 2
         stride = width - longest + 1
-        listed = ", ".join(f"'{g}'" for g in guards)
-        spots = f"filter(sequence(0, size(words) - 1), p -> words[p] IN ({listed}))"
+        spots = f"filter(spots, p -> words[p] IN ({_quoted(guards)}))"
         # Windows i * stride .. i * stride + width - 1 that hold a guard word and begin inside the text.
         around = f"sequence(greatest(0, int(ceil((p - {width - 1}) / {stride}))), p div {stride})"
-        windows = f"array_distinct(flatten(transform({spots}, p -> transform({around}, i -> int(i * {stride})))))"
-        cut = maybe.where(f"size(words) >= {k}").selectExpr("doc_id", "words", f"explode({windows}) AS word")
-        cut = cut.selectExpr("doc_id", "word", f"slice(words, word + 1, {width}) AS win").where(f"size(win) >= {k}")
-        cut = cut.selectExpr("doc_id", "word", f"{_shingles('win', k)} AS sh")
-        own = spark.createDataFrame(
-            [(n, name, words) for n, name, words in members], "number int, license_id string, win array<string>"
-        ).selectExpr("number", "license_id", f"{_shingles('win', k)} AS sh")
-        bands = own.selectExpr("number", f"inline({_BAND_VALUES})")
-        hits = cut.selectExpr("doc_id", "word", "sh", f"inline({_BAND_VALUES})")
-        hits = hits.join(bounded(bands), ["b", "v"]).select("doc_id", "word", "number", "sh").distinct()
-        own = own.select("number", "license_id", F.col("sh").alias("whole"))
-        hits = hits.join(bounded(own), "number").selectExpr(
-            "doc_id", "license_id", "size(array_intersect(sh, whole)) AS shared", "size(whole) AS shingles", "word"
-        )
-        hits = hits.where(f"100 * shared >= {percent} * shingles")
-        found = hits if found is None else found.unionByName(hits)
+        begins = f"array_distinct(flatten(transform({spots}, p -> transform({around}, i -> int(i * {stride})))))"
+        windows.append(f"transform({begins}, i -> named_struct('g', {g}, 'k', {k}, 'width', {width}, 'word', i))")
+        listed += [(g, k, n, name, words) for n, name, words in members]
+    own = spark.createDataFrame(listed, "g int, k int, number int, license_id string, win array<string>")
+    own = own.selectExpr("g", "number", "license_id", f"{_shingles('win', 'k')} AS sh")
+    cut = maybe.selectExpr("doc_id", "words", f"inline(concat({', '.join(windows)}))")
+    cut = cut.selectExpr("doc_id", "g", "word", "k", "slice(words, word + 1, width) AS win").where("size(win) >= k")
+    cut = cut.selectExpr("doc_id", "g", "word", f"{_shingles('win', 'k')} AS sh")
+    bands = own.selectExpr("g", "number", f"inline({_BAND_VALUES})")
+    hits = cut.selectExpr("doc_id", "g", "word", "sh", f"inline({_BAND_VALUES})")
+    hits = hits.join(bounded(bands), ["g", "b", "v"]).select("doc_id", "word", "number", "sh").distinct()
+    own = own.select("number", "license_id", F.col("sh").alias("whole"))
+    found = hits.join(bounded(own), "number").selectExpr(
+        "doc_id", "license_id", "size(array_intersect(sh, whole)) AS shared", "size(whole) AS shingles", "word"
+    )
+    found = found.where(f"100 * shared >= {percent} * shingles")
     share = F.struct((-F.col("shared") / F.col("shingles")).alias("o"), "word", (-F.col("shingles")).alias("n"), "shared", "shingles")
     best = found.groupBy("doc_id", "license_id").agg(F.min(share).alias("s"))
     return best.select("doc_id", "license_id", "s.shared", "s.shingles", "s.word")
