@@ -29,7 +29,8 @@ from cartlake.llm.common import per_batch, small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-_REMEMBERED = 400_000
+# Stretches that a table keeps, and the longest one worth keeping: longer ones rarely come again.
+_REMEMBERED, _SHORT = 250_000, 24
 
 
 class Vocabulary:
@@ -202,7 +203,7 @@ class Vocabulary:
         return b"".join(out)
 
     def _kept(self, table: dict[str, bytes], text: str, ids: bytes) -> bytes:
-        if len(text) <= 64:
+        if len(text) <= _SHORT:
             if len(table) >= _REMEMBERED:
                 table.clear()
             table[text] = ids
@@ -283,6 +284,27 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return given.mapInArrow(per_batch(work), "doc_id long, ids array<int>")
 
 
+def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(doc_id, ids, text): the piece ids of every whole text, and the text decoded from these ids.
+
+    The same as `decode(encode(docs))` in one step, so a task needs one Python worker and one vocabulary.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    sent = spark.sparkContext.broadcast(vocabulary)
+
+    def work(batch):
+        vocab = sent.value
+        rows = [None if t is None else vocab.encode(t) for t in batch.column("text").to_pylist()]
+        texts = [None if x is None else vocab.decode(x.tolist()) for x in rows]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), _lists(rows), pa.array(texts, pa.string())], ["doc_id", "ids", "text"]
+        )
+
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    return given.mapInArrow(per_batch(work), "doc_id long, ids array<int>, text string")
+
+
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(doc_id, ids, text): the texts the ids stand for."""
     spark = encoded.sparkSession

@@ -64,9 +64,7 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Every text's piece ids, and the text decoded from them compared with the given one."""
-    vocabulary = pieces.load()
-    encoded = pieces.encode(table(spark, folder, "documents"), vocabulary)
-    decoded = pieces.decode(encoded, vocabulary)
+    decoded = pieces.round_trip(table(spark, folder, "documents"), pieces.load())
     return decoded.select("doc_id", "ids", F.size("ids").alias("n_ids"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 

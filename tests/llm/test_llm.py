@@ -251,6 +251,7 @@ def test_pieces_equal_the_library(spark):
     rows = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(None, None, 1)], "doc_id long, text string, ids long")
     out = pieces.decode(pieces.encode(rows, vocabulary), vocabulary).collect()
     assert {r.doc_id: r.text for r in out} == {**dict(enumerate(texts)), None: None}
+    assert sorted(pieces.round_trip(rows, vocabulary).collect(), key=str) == sorted(out, key=str)
     with pytest.raises(ValueError):
         vocabulary.decode([10**6])
 
