@@ -38,8 +38,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, text): piece ids of every document, and the text they decode to."""
-    vocabulary = pieces.load()
-    return pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    return pieces.round_trip(docs, pieces.load())
 
 
 STAGES = [
