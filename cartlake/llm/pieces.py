@@ -30,7 +30,7 @@ from cartlake.llm.common import per_batch, small_batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 # Stretches that a table keeps, and the longest one worth keeping: longer ones rarely come again.
-_REMEMBERED, _SHORT = 250_000, 24
+_REMEMBERED, _SHORT = 400_000, 20
 
 
 class Vocabulary:
