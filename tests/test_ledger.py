@@ -264,7 +264,7 @@ def test_upkeep(spark, tmp_path):
     run_upkeep(lake)
     for i in "abc":
         lake.append(BRONZE, "raw_events", named(spark, i))
-        lake.append_rows("monitoring", "freshness_log", [(i, "t", None, None, "fresh", 60, None)], S.TABLES["freshness_log"])
+        lake.append_rows("monitoring", "freshness_log", [(i, "t", None, None, "fresh", 60, None, 1)], S.TABLES["freshness_log"])
     run_upkeep(lake, hours=-1)
     assert ids(lake) == list("abc") and lake.read("monitoring", "freshness_log").count() == 3
     assert len(list((tmp_path / "bronze" / "raw_events").glob("load=*"))) == 1
