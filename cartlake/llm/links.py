@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from cartlake.llm.common import bounded, land, small_batches
-from cartlake.llm.words import alike, exact_shingles, few_edits, split_words
+from cartlake.llm.common import bounded, chunked, land, per_batch, small_batches, texts_of
+from cartlake.llm.words import alike, document_words, exact_shingles, few_edits, shingle_hashes, split_words
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
@@ -78,6 +79,71 @@ def words_alike(percent: int) -> tuple[Callable, Callable]:
     return split_words, (lambda a, b: few_edits(a, b, percent))
 
 
+def _word_pairs(percent: int):
+    """Turns (node, text) into one row per word pair: its place in the text, the number of words, how many pairs to index."""
+
+    def work(batch: pa.RecordBatch):
+        texts, nodes = texts_of(batch.column("text")), batch.column("node").to_numpy(zero_copy_only=False)
+        for i, j in chunked(texts):
+            hashes, bounds, *_ = document_words(texts[i:j])
+            size = np.diff(bounds)
+            longest = size * 100 // percent
+            need = size - 1 - 2 * (size * (100 - percent) // 100)
+            for more in (1, 2, 3):  # the need falls by one where the edits grow, every third word at most
+                other = np.minimum(size + more, longest)
+                need = np.minimum(need, other - 1 - 2 * (other * (100 - percent) // 100))
+            each = np.maximum(size - 1, 0)
+            at = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+            shingles = shingle_hashes(hashes, 2)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "node": pa.array(np.repeat(nodes[i:j], each)),
+                    "pair": pa.array(shingles[at + np.repeat(bounds[:-1], each)].view(np.int64)),
+                    "at": pa.array(at),
+                    "n": pa.array(np.repeat(size, each)),
+                    "reach": pa.array(np.repeat(size - need, each)),
+                }
+            )
+
+    return per_batch(work)
+
+
+def edit_pairs(texts: DataFrame, percent: int) -> Callable[[DataFrame], DataFrame]:
+    """For `linked`: all pairs of different roots whose word edit distance can be small enough, percent from 67.
+
+    k edits leave all but 2k word pairs of the longer text in both, in one order and moved by k
+    places at most. With a text's pairs put rarest first, the first that both keep thus lies
+    early in either. Texts join on such pairs only, if places and numbers of words agree; members of
+    the root that holds most of a word pair are not joined with each other.
+    """
+    if percent < 67:
+        raise ValueError("below 67 percent two texts within the distance may share no word pair")
+
+    def pairs(live: DataFrame) -> DataFrame:
+        listed = texts.join(live.select("node"), "node", "left_semi")
+        listed = listed.mapInArrow(_word_pairs(percent), "node long, pair long, at long, n long, reach long")
+        listed = land(listed, "listed")
+        often = listed.groupBy("pair").agg(F.count("*").alias("often")).where("often > 1")
+        place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "pair", "at"))
+        first = listed.join(often, "pair", "left").withColumn("place", place)
+        first = first.where("place <= reach and often > 1").join(live, "node")
+        first = land(first.select("node", "root", "n", "place", "at", "pair"), "prefixes")
+        held = first.groupBy("pair", "root").agg(F.count("*").alias("c"))
+        main = held.groupBy("pair").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots"))
+        main = land(main.where("roots > 1").select("pair", "main"), "main")
+        first = land(first.join(main, "pair"), "shared")
+        odd = first.where("root <> main").select("pair", *(F.col(c).alias(f"_{c}") for c in ("node", "root", "n", "place", "at")))
+        most = f"(greatest(n, _n) * {100 - percent} div 100)"
+        need = f"(greatest(n, _n) - 1 - 2 * {most})"
+        both = first.alias("x").join(odd.alias("y"), F.expr(
+            f"x.pair = y.pair and root <> _root and abs(n - _n) <= {most} and abs(at - _at) <= {most}"
+            f" and n - place >= {need} and _n - _place >= {need}"
+        ))
+        return both.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
+
+    return pairs
+
+
 def _check(test: tuple[Callable, Callable]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     prepare, compare = test
 

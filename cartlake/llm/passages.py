@@ -17,7 +17,7 @@ component the first paragraph stays and the others go, if they are part of a run
 
 Results for odd input: null, empty and blank texts have no paragraphs; case and the kind of
 white space do not matter. Rows without doc_id take part. Rows that repeat a doc_id are told
-apart by their text. An empty table gives no rows.
+apart by their text; rows equal in both are one document. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cartlake.llm.common import bounded, chunked, land, per_batch, small_batches, text_hash, texts_of
-from cartlake.llm.links import linked, shared_buckets, words_alike
+from cartlake.llm.links import edit_pairs, linked, shared_buckets, words_alike
 from cartlake.llm.words import document_words, mix, shingle_hashes, span_hashes
 
 REACH = 6
@@ -121,16 +121,18 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, min_words: int
     texts = given.mapInArrow(_paragraphs(True), "k1 long, k2 long, text binary")
     texts = texts.join(bounded(needed), "k1", "left_semi").groupBy("k1").agg(F.min("text").alias("text"))
     texts = land(texts.select(F.col("k1").alias("node"), "text"), "texts")
-    roots = linked(members, texts, words_alike(percent))
+    roots = linked(members, texts, words_alike(percent), narrow=edit_pairs(texts, percent))
 
     # Classes that recur, alone or through links, with the component each belongs to.
     known = same.select("k1").union(roots.select("node")).distinct()
     known = known.join(roots.withColumnRenamed("node", "k1"), "k1", "left")
     known = land(known.select("k1", F.coalesce("root", "k1").alias("cluster")), "known")
-    found = land(units.select("doc_id", "th", "word", "words", "k1").join(bounded(known), "k1"), "found")
+    found = units.select("doc_id", "th", "word", "words", "k1").join(bounded(known), "k1")
+    found = land(found.dropDuplicates(["doc_id", "th", "word"]), "found")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "word")
     heads = found.groupBy("cluster").agg(F.min(place).alias("f"), F.count("*").alias("copies")).where("copies > 1")
     heads = heads.select("cluster", F.col("f.doc_id").alias("keep_doc_id"), F.col("f.th").alias("_th"), F.col("f.word").alias("keep_word"))
+    heads = land(heads, "heads")  # landed, so that a cluster of many copies is split in the join
     found = found.join(heads, "cluster")
     # Runs of paragraphs that follow each other without a gap; a document's paragraphs come from one row.
     order = Window.partitionBy("doc_id", "th").orderBy("word")
