@@ -80,7 +80,7 @@ def words_alike(percent: int) -> tuple[Callable, Callable]:
 
 
 def _word_pairs(percent: int):
-    """Turns (node, text) into one row per word pair: its place in the text, the number of words, how many pairs to index."""
+    """Turns (node, text) into one row per word pair: its place, the number of words, how many pairs to index, the words' bits."""
 
     def work(batch: pa.RecordBatch):
         texts, nodes = texts_of(batch.column("text")), batch.column("node").to_numpy(zero_copy_only=False)
@@ -95,6 +95,15 @@ def _word_pairs(percent: int):
             each = np.maximum(size - 1, 0)
             at = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
             shingles = shingle_hashes(hashes, 2)
+            # The words as a set of 128 bits; an edit changes two of them at most.
+            full = bounds[:-1][size > 0]
+            low, bit = (hashes >> np.uint64(57)) & np.uint64(1), np.uint64(1) << (hashes >> np.uint64(58))
+            lanes = []
+            for lane in (np.uint64(0), np.uint64(1)):
+                held = np.zeros(j - i, np.uint64)
+                if len(full):
+                    held[size > 0] = np.bitwise_or.reduceat(np.where(low == lane, bit, np.uint64(0)), full)
+                lanes.append(np.repeat(held.view(np.int64), each))
             yield pa.RecordBatch.from_pydict(
                 {
                     "node": pa.array(np.repeat(nodes[i:j], each)),
@@ -102,6 +111,8 @@ def _word_pairs(percent: int):
                     "at": pa.array(at),
                     "n": pa.array(np.repeat(size, each)),
                     "reach": pa.array(np.repeat(size - need, each)),
+                    "w0": pa.array(lanes[0]),
+                    "w1": pa.array(lanes[1]),
                 }
             )
 
@@ -113,31 +124,32 @@ def edit_pairs(texts: DataFrame, percent: int) -> Callable[[DataFrame], DataFram
 
     k edits leave all but 2k word pairs of the longer text in both, in one order and moved by k
     places at most. With a text's pairs put rarest first, the first that both keep thus lies
-    early in either. Texts join on such pairs only, if places and numbers of words agree; members of
-    the root that holds most of a word pair are not joined with each other.
+    early in either. Texts join on such pairs only, if places, numbers of words and the sets of words
+    agree as far as k edits must leave them; members of the root that holds most of a word pair are not joined with each other.
     """
     if percent < 67:
         raise ValueError("below 67 percent two texts within the distance may share no word pair")
 
     def pairs(live: DataFrame) -> DataFrame:
         listed = texts.join(live.select("node"), "node", "left_semi")
-        listed = listed.mapInArrow(_word_pairs(percent), "node long, pair long, at long, n long, reach long")
+        listed = listed.mapInArrow(_word_pairs(percent), "node long, pair long, at long, n long, reach long, w0 long, w1 long")
         listed = land(listed, "listed")
         often = listed.groupBy("pair").agg(F.count("*").alias("often")).where("often > 1")
         place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "pair", "at"))
         first = listed.join(often, "pair", "left").withColumn("place", place)
         first = first.where("place <= reach and often > 1").join(live, "node")
-        first = land(first.select("node", "root", "n", "place", "at", "pair"), "prefixes")
+        first = land(first.select("node", "root", "n", "place", "at", "w0", "w1", "pair"), "prefixes")
         held = first.groupBy("pair", "root").agg(F.count("*").alias("c"))
         main = held.groupBy("pair").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots"))
         main = land(main.where("roots > 1").select("pair", "main"), "main")
         first = land(first.join(main, "pair"), "shared")
-        odd = first.where("root <> main").select("pair", *(F.col(c).alias(f"_{c}") for c in ("node", "root", "n", "place", "at")))
+        odd = first.where("root <> main").select("pair", *(F.col(c).alias(f"_{c}") for c in ("node", "root", "n", "place", "at", "w0", "w1")))
         most = f"(greatest(n, _n) * {100 - percent} div 100)"
         need = f"(greatest(n, _n) - 1 - 2 * {most})"
         both = first.alias("x").join(odd.alias("y"), F.expr(
             f"x.pair = y.pair and root <> _root and abs(n - _n) <= {most} and abs(at - _at) <= {most}"
             f" and n - place >= {need} and _n - _place >= {need}"
+            f" and bit_count(w0 ^ _w0) + bit_count(w1 ^ _w1) <= 2 * {most}"
         ))
         return both.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
 
