@@ -36,3 +36,53 @@ def test_all_leaks_at_the_edit_rate_are_found(n):
                     want = distance if distance <= int(decontaminate.EDIT_RATE * len(item)) else None
                     assert found[i].get(number, (None,))[0] == want
             assert n > 200 or i in found[i] or decontaminate.edit_match(index.items[i][1], text)[0] > int(0.1 * len(index.items[i][1]))
+
+
+def _edited(rng: random.Random, item: str, places: list[int], other: str) -> str:
+    out = list(item)
+    for at in sorted(places, reverse=True):
+        kind = rng.randrange(3)
+        out[at : at + (kind > 0)] = [other] if kind < 2 else []
+    return "".join(out)
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnoprstuvwyñó    ", "абвгдежзийклмнопрстуф    ", "ehinorst  "])
+@pytest.mark.parametrize("spread", ["random", "even"])
+@pytest.mark.parametrize("n", [81, 120, 300])
+def test_walks_alone_find_leaks_at_the_edit_rate(n, spread, letters):
+    rng = random.Random(n)
+    words = lambda size: " ".join("".join(rng.choice(letters) for _ in range(2 * size)).split())[:size].strip().ljust(size, "z")
+    items = [(i, words(n)) for i in range(250)]
+    index = decontaminate.Index.of(items, decontaminate.EDIT_RATE)
+    assert not index.seeds and len(index.walks) == decontaminate.WALKS
+    most = n // 10
+    texts = []
+    for _, item in items:
+        places = rng.sample(range(n), most) if spread == "random" else [n * (2 * i + 1) // (2 * most) for i in range(most)]
+        texts.append(decontaminate.normal(f"{words(rng.randrange(1, 90))} {_edited(rng, item, places, 'q')} {words(rng.randrange(1, 90))}"))
+    found = index.leaks(texts)
+    missed = [
+        i for i, text in enumerate(texts) if i not in found[i] and decontaminate.edit_match(items[i][1], text)[0] <= most
+    ]
+    assert not missed
+
+
+def test_items_below_the_walks_reach_go_by_pieces():
+    reach = decontaminate.shortest_walked(decontaminate.EDIT_RATE)
+    index = decontaminate.Index.of([(1, "x" * (reach - 1)), (2, "y" * reach)], decontaminate.EDIT_RATE)
+    assert [t.owner.tolist() for t in index.seeds.values()] == [[0] * 9]
+    assert {o for tables in index.walks for t in tables for o in t.owner.tolist()} == {1}
+    assert decontaminate.shortest_walked(0.01) < reach < decontaminate.shortest_walked(0.2)
+
+
+def test_benchmark_blocks_are_sent_as_texts(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_SYMBOLS", 100)
+    rng = random.Random(5)
+    items = [(i, _item(rng, 120)) for i in range(4)]
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    blocks = list(decontaminate.blocks(bench))
+    assert sorted(i for b in blocks for i, _ in b.items) == [0, 1, 2, 3] and len(blocks) == 4
+    assert not any("index" in vars(b) for b in blocks)
+    docs = spark.createDataFrame([(i, f"before {t} after") for i, t in items] + [(9, None), (10, "clean")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in decontaminate.leaks(docs, bench).collect()) == [(i, i, 0) for i in range(4)]
+    assert sorted(r.doc_id for r in decontaminate.decontaminate(docs, bench).collect()) == [9, 10]
