@@ -3,9 +3,11 @@
 Rows stream through a stateful aggregation keyed by the text's digest. Its state lives in
 RocksDB on the executors' disks with checkpoints in the shared folder, holds one entry per
 distinct text (digest, stable identifier and content locator of the row that stays, count)
-and is read back as a table. Digest hits are then checked on their full bytes. All steps are
-built-in functions; equal digests combine before every shuffle, so one text may fill any
-share of the rows.
+and is read back as a table. Digest hits are then checked on their full bytes; other texts
+are not shuffled while the hits are few enough to be broadcast.
+`keyed_state` goes on with the state of a given folder, so that later batches meet the digests of
+earlier ones. All steps are built-in functions; equal digests combine before every shuffle, so one
+text may fill any share of the rows.
 
 Results for odd input: a null text counts as empty. Rows without doc_id take part; the row
 with the largest doc_id stays, one without only if none has any. Rows that repeat a doc_id
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cartlake.llm.common import land, scratch
+from cartlake.llm.common import BROADCAST_ROWS, land, scratch
 
 ID, DIGEST = "__cartlake_id", "__cartlake_digest"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -27,14 +29,15 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
-def keyed_state(prints: DataFrame, files_per_batch: int = 10_000) -> DataFrame:
+def keyed_state(prints: DataFrame, folder: str | None = None, files_per_batch: int = 10_000) -> DataFrame:
     """(digest, n, keep) after streaming landed fingerprints (digest, doc_id, locator) through keyed state.
 
     `keep` is the struct (doc_id, locator) of the row that stays. The stream ends when all files
-    are read; started again on the same checkpoint, it would go on with the files that are new.
+    are read; started again on the same state folder, it goes on with the files that are new. Without a
+    folder the state is new.
     """
     spark = prints.sparkSession
-    folder = scratch(spark, "exact-state")
+    folder = folder or scratch(spark, "exact-state")
     source = {f.rpartition("/")[0] for f in prints.inputFiles()}
     if not source:
         keep = "struct<doc_id: bigint, locator: string>"
@@ -77,9 +80,12 @@ def exact_groups(docs: DataFrame, digest=sha256) -> DataFrame:
     state = land(keyed_state(prints), "state")
 
     # Full bytes of the hits: within a digest all texts are equal if the smallest is the largest.
-    hits = state.where("n > 1").select("digest")
-    ends = rows.groupBy("digest").agg(F.min("text").alias("_lo"), F.max("text").alias("_hi"))
-    clash = land(ends.where("_lo <> _hi").select("digest").join(hits, "digest", "left_semi"), "clash")
+    hits = land(state.where("n > 1").select("digest"), "hits")
+    # Few hits go to the texts. Otherwise all texts are aggregated, so that copies combine before the shuffle.
+    few = hits.count() <= BROADCAST_ROWS
+    ends = rows.join(F.broadcast(hits), "digest", "left_semi") if few else rows
+    ends = ends.groupBy("digest").agg(F.min("text").alias("_lo"), F.max("text").alias("_hi"))
+    clash = land(ends.where("_lo <> _hi").select("digest"), "clash")
     out = ["digest", "doc_id", "locator", "keep", "group_size", "kept"]
     if clash.isEmpty():
         sure = prints.join(state, "digest")

@@ -39,10 +39,12 @@ def test_exact_groups_and_ties(spark):
     assert exact.exact_dedup(docs(spark, [])).count() == 0
 
 
-def test_exact_checks_full_bytes(spark):
-    """With a digest that collides, texts still decide."""
+@pytest.mark.parametrize("most", [0, 100])
+def test_exact_checks_full_bytes(spark, monkeypatch, most):
+    """With a digest that collides, texts still decide, be the hits few or many."""
     from pyspark.sql import functions as F
 
+    monkeypatch.setattr(exact, "BROADCAST_ROWS", most)
     weak = lambda text: F.encode(F.length(text).cast("string"), "utf-8")
     rows = docs(spark, [(1, "ab"), (2, "cd"), (3, "ab"), (4, "xyz")])
     found = {r.doc_id: (r.keep.doc_id, r.group_size, r.kept) for r in exact.exact_groups(rows, weak).collect()}
@@ -307,3 +309,17 @@ def test_pipeline_stages(spark):
             items = [decontaminate.normal(r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
             dirty = {i for i, t in before.items() if any(x in decontaminate.normal(t) for x in items)}
             assert dirty <= set(before) - set(after)
+
+
+def test_exact_state_of_a_folder_meets_later_batches(spark, tmp_path):
+    prints, state = str(tmp_path / "prints"), str(tmp_path / "state")
+
+    def batch(rows):
+        table = spark.createDataFrame([(t.encode(), i, f"{i}-{t}") for i, t in rows], "digest binary, doc_id long, locator string")
+        table.coalesce(1).write.mode("append").parquet(prints)
+        stored = exact.keyed_state(spark.read.parquet(prints), state).collect()
+        return {bytes(r.digest).decode(): (r.n, r.keep.doc_id) for r in stored}
+
+    assert batch([(1, "a"), (2, "a"), (3, "b")]) == {"a": (2, 2), "b": (1, 3)}
+    assert batch([(9, "b"), (4, "c")]) == {"a": (2, 2), "b": (2, 9), "c": (1, 4)}
+    assert batch([]) == {"a": (2, 2), "b": (2, 9), "c": (1, 4)}
