@@ -1,9 +1,11 @@
 """What jobs move and write: each of these grew faster than the data."""
 
 import re
+from pathlib import Path
 
 import pytest
 
+from cartlake import catalogue
 from cartlake.config import BRONZE, Storage
 from cartlake.sources import derived
 from cartlake.sources.warehouse import Warehouse
@@ -36,3 +38,21 @@ def test_a_partitioned_write_keeps_its_files_open(spark, tmp_path, monkeypatch,
         assert spark.conf.get(OPEN_FILES) == before
     finally:
         spark.conf.set(OPEN_FILES, had)
+
+
+@pytest.mark.parametrize(("query", "what"), [("jsonl_load", "lines"), ("jsonl_rejects", "broken-lines")])
+def test_lines_are_written_compressed(spark, query, what):
+    rows = catalogue.QUERIES[query](spark, FOLDER)
+    assert rows.count() > 0
+    path = catalogue._once(spark, FOLDER, what)
+    text = spark.read.text(path).agg({"value": "count"}).head()[0], sum(len(r.value) for r in spark.read.text(path).collect())
+    files = [x for x in Path(path).iterdir() if x.name.startswith("part-")]
+    assert text[0] > 1000 and all(x.suffix == ".gz" for x in files)
+    assert sum(x.stat().st_size for x in files) * 5 < text[1]
+
+
+def test_scratch_tables_are_written_compact(spark):
+    catalogue.bronze(spark, FOLDER)
+    place = catalogue.warehouse(spark, FOLDER).location(BRONZE, "raw_events")
+    files = list(Path(place).rglob("*.parquet"))
+    assert files and all(x.name.endswith(".zstd.parquet") for x in files)
