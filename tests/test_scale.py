@@ -56,3 +56,19 @@ def test_scratch_tables_are_written_compact(spark):
     place = catalogue.warehouse(spark, FOLDER).location(BRONZE, "raw_events")
     files = list(Path(place).rglob("*.parquet"))
     assert files and all(x.name.endswith(".zstd.parquet") for x in files)
+
+
+def test_packing_shuffles_nothing(spark, tmp_path):
+    lake = Warehouse(spark, Storage(root=str(tmp_path)))
+    for n in range(3):
+        rows = events(spark, *[{"event_id": f"{n}{k}", "event_type": k} for k in (None, "", "a b/c", "7", "Ä=")])
+        lake.append(BRONZE, "raw_events", rows)
+    place, parts = lake.location(BRONZE, "raw_events"), lake.version(BRONZE, "raw_events").loads
+    plan = lake._by_value(place, "raw_events", parts, 1 << 20, ("event_type",))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    before = sorted(lake.read(BRONZE, "raw_events").collect(), key=str)
+    packed = lake.pack(BRONZE, "raw_events")
+    assert (packed.loads_before, packed.loads_after, packed.rows) == (3, 1, 15)
+    assert sorted(lake.read(BRONZE, "raw_events").collect(), key=str) == before
+    files = list((Path(place) / lake.version(BRONZE, "raw_events").loads[0].folder).rglob("part-*.parquet"))
+    assert len(files) == len({x.parent for x in files}) == 4
