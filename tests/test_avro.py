@@ -85,3 +85,18 @@ def test_two_versions_in_one_stream(spark, tmp_path):
     ingest.write_bronze(records, lake, str(tmp_path / "c"), available_now=True).awaitTermination()
     found = lake.read(BRONZE, "raw_events").collect()
     assert sorted((r.event_id, r.user_id, r.order_id) for r in found) == [("1", "u1", "o1"), ("2", "u1", "o1")]
+
+
+def test_texts_are_written_by_spark_and_read_a_field_at_a_time(spark):
+    """Lengths of one to four bytes, versions in one batch, and records that are read one by one beside them."""
+    df = events(spark, {"event_id": "1"}).crossJoin(spark.createDataFrame([(n,) for n in (0, 1, 63, 64, 8191, 8192, 1048575, 1048576)], "n int"))
+    df = df.withColumn("payload_items", F.expr("repeat('é', n div 2) || repeat('x', n % 2)")).withColumn("session_id", F.lit(""))
+    wire_rows = avro.encode(df, FIRST, 1)
+    assert "MapInArrow" not in wire_rows._jdf.queryExecution().executedPlan().toString()
+    second = FIRST | {"fields": [{"name": "user_id", "type": ["long", "string"]}, *FIRST["fields"][:2]]}
+    odd = [b"\0\0\0\1\2" + b"\x00\x0e" + b"\x02\x02a\x02\x02b", b"\0\0\0\1\2" + b"\x02\x04uu" + b"\x02\x02c\x00tail"]
+    both = wire_rows.unionByName(wire(spark, *odd, b"\0\0\0\1\2\x02\x04\xff\xfe\x00\x00")).coalesce(1)
+    kept = avro.decode(both, {1: FIRST, 258: second}, on_bad="keep").collect()
+    assert sorted(len(r.payload_items.encode()) for r in kept if r.payload_items is not None) == [0, 1, 63, 64, 8191, 8192, 1048575, 1048576]
+    assert {(r.event_id, r.user_id, r.event_type) for r in kept if r.payload_items is None} == {("a", "7", "b"), ("c", "uu", None), (None, None, S.REJECTED)}
+    assert all(r.session_id == "" for r in kept if r.payload_items is not None)
