@@ -79,6 +79,49 @@ def words_alike(percent: int) -> tuple[Callable, Callable]:
     return split_words, (lambda a, b: few_edits(a, b, percent))
 
 
+#: Texts of so many words and more are joined on neighbouring word pairs, shorter ones on rare words.
+LONG = 20
+#: Words by which a crowded bucket is split at once.
+STEP = 4
+#: A bucket is split by a further word if that makes so many times fewer rows than its pairs are.
+CROWD = 32
+
+
+def _bits(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """The words of each text as a set of 128 bits, in two lanes."""
+    size = np.diff(bounds)
+    full = bounds[:-1][size > 0]
+    low, bit = (hashes >> np.uint64(57)) & np.uint64(1), np.uint64(1) << (hashes >> np.uint64(58))
+    lanes = []
+    for lane in (np.uint64(0), np.uint64(1)):
+        held = np.zeros(len(size), np.uint64)
+        if len(full):
+            held[size > 0] = np.bitwise_or.reduceat(np.where(low == lane, bit, np.uint64(0)), full)
+        lanes.append(held.view(np.int64))
+    return lanes
+
+
+def _word_lists(batch: pa.RecordBatch):
+    """Turns (node, text) into node, number of words, the words' bits and hashes; the hashes of long texts are left out."""
+    texts, nodes = texts_of(batch.column("text")), batch.column("node")
+    for i, j in chunked(texts):
+        hashes, bounds, *_ = document_words(texts[i:j])
+        size = np.diff(bounds)
+        w0, w1 = _bits(hashes, bounds)
+        short = size < LONG
+        ends = np.concatenate([[0], np.cumsum(np.where(short, size, 0))]).astype(np.int32)
+        words = hashes[np.repeat(short, size)].view(np.int64)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "node": nodes.slice(i, j - i),
+                "n": pa.array(size, pa.int64()),
+                "w0": pa.array(w0),
+                "w1": pa.array(w1),
+                "words": pa.ListArray.from_arrays(pa.array(ends), pa.array(words)),
+            }
+        )
+
+
 def _word_pairs(percent: int):
     """Turns (node, text) into one row per word pair: its place, the number of words, how many pairs to index, the words' bits."""
 
@@ -95,15 +138,7 @@ def _word_pairs(percent: int):
             each = np.maximum(size - 1, 0)
             at = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
             shingles = shingle_hashes(hashes, 2)
-            # The words as a set of 128 bits; an edit changes two of them at most.
-            full = bounds[:-1][size > 0]
-            low, bit = (hashes >> np.uint64(57)) & np.uint64(1), np.uint64(1) << (hashes >> np.uint64(58))
-            lanes = []
-            for lane in (np.uint64(0), np.uint64(1)):
-                held = np.zeros(j - i, np.uint64)
-                if len(full):
-                    held[size > 0] = np.bitwise_or.reduceat(np.where(low == lane, bit, np.uint64(0)), full)
-                lanes.append(np.repeat(held.view(np.int64), each))
+            w0, w1 = _bits(hashes, bounds)
             yield pa.RecordBatch.from_pydict(
                 {
                     "node": pa.array(np.repeat(nodes[i:j], each)),
@@ -111,47 +146,156 @@ def _word_pairs(percent: int):
                     "at": pa.array(at),
                     "n": pa.array(np.repeat(size, each)),
                     "reach": pa.array(np.repeat(size - need, each)),
-                    "w0": pa.array(lanes[0]),
-                    "w1": pa.array(lanes[1]),
+                    "w0": pa.array(np.repeat(w0, each)),
+                    "w1": pa.array(np.repeat(w1, each)),
                 }
             )
 
     return per_batch(work)
 
 
-def edit_pairs(texts: DataFrame, percent: int) -> Callable[[DataFrame], DataFrame]:
-    """For `linked`: all pairs of different roots whose word edit distance can be small enough, percent from 67.
+def _apart(percent: int) -> tuple[str, str]:
+    """SQL of the edits that two texts of n and _n words may have, and of whether their lengths and words allow so few."""
+    most = f"(greatest(n, _n) * {100 - percent} div 100)"
+    # Every word that only one of them holds costs an edit.
+    words = " and ".join(f"bit_count({a}w0 & ~{b}w0) + bit_count({a}w1 & ~{b}w1) <= {most}" for a, b in (("", "_"), ("_", "")))
+    return most, f"abs(n - _n) <= {most} and {words}"
+
+
+def _other(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows with an underscore before all names but the keys'."""
+    return rows.select(*keys, *(F.col(c).alias(f"_{c}") for c in rows.columns if c not in keys))
+
+
+def _mains(rows: DataFrame, key: str, *sums: str) -> DataFrame:
+    """Of keys that several roots hold: the root that holds most rows as `main`, and the number of rows of all and of the others."""
+    held = rows.groupBy(key, "root").agg(F.count("*").alias("c"), *(F.sum(s).alias(s) for s in sums))
+    main = held.groupBy(key).agg(
+        F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots"),
+        F.sum("c").alias("rows"), (F.sum("c") - F.max("c")).alias("odd"), *(F.sum(s).alias(s) for s in sums),
+    )
+    return main.where("roots > 1").drop("roots")
+
+
+def _long_pairs(texts: DataFrame, live: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of `edit_pairs` where the longer text has LONG words at least.
 
     k edits leave all but 2k word pairs of the longer text in both, in one order and moved by k
     places at most. With a text's pairs put rarest first, the first that both keep thus lies
     early in either. Texts join on such pairs only, if places, numbers of words and the sets of words
     agree as far as k edits must leave them; members of the root that holds most of a word pair are not joined with each other.
     """
+    listed = texts.mapInArrow(_word_pairs(percent), "node long, pair long, at long, n long, reach long, w0 long, w1 long")
+    listed = land(listed, "listed")
+    often = listed.groupBy("pair").agg(F.count("*").alias("often")).where("often > 1")
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "pair", "at"))
+    first = listed.join(often, "pair", "left").withColumn("place", place)
+    first = first.where("place <= reach and often > 1").join(live, "node")
+    first = land(first.select("node", "root", "n", "place", "at", "w0", "w1", "pair"), "prefixes")
+    main = land(_mains(first, "pair").select("pair", "main"), "main")
+    first = land(first.join(main, "pair"), "shared")
+    odd = _other(first.where("root <> main").drop("main"), "pair")
+    most, near = _apart(percent)
+    need = f"(greatest(n, _n) - 1 - 2 * {most})"
+    both = first.alias("x").join(odd.alias("y"), F.expr(
+        f"x.pair = y.pair and root <> _root and greatest(n, _n) >= {LONG} and {near}"
+        f" and abs(at - _at) <= {most} and n - place >= {need} and _n - _place >= {need}"
+    ))
+    return both.select(*_pairs(F.col("node"), F.col("_node"))).distinct()
+
+
+def _grown(rows: DataFrame, begin: int, end: int, percent: int) -> DataFrame:
+    """Rows of `begin` chosen words with further words, up to `end`; rows that may need no more words stay beside."""
+    spare = f"(n * {100 - percent} div 100)"
+    out = []
+    for depth in range(begin + 1, end + 1):
+        place = F.explode(F.expr(f"sequence(place + 1, least(n, {spare} + {depth}))"))
+        rows = rows.where("place < n").withColumn("place", place).withColumn("_t", F.expr("order[int(place) - 1]")).where("_t.often > 1")
+        # Words that both texts keep stand in one order in both, so it belongs to the key.
+        rank = F.expr("size(filter(places, x -> x < _t.at))")
+        rows = rows.withColumn("bucket", F.xxhash64("bucket", "_t.word", rank)).withColumn("places", F.expr("array_append(places, _t.at)"))
+        rows = rows.drop("_t").withColumn("depth", F.lit(depth))
+        out.append(rows if depth == end else rows.where(f"n - {spare} <= {depth}"))
+    total = out[0]
+    for x in out[1:]:
+        total = total.unionByName(x)
+    ends = [F.array_min("places").alias("lo"), F.array_max("places").alias("hi")]
+    return total.select("bucket", "node", "root", "n", "w0", "w1", "depth", "place", "places", *ends)
+
+
+def edit_pairs(texts: DataFrame, percent: int) -> Callable[..., DataFrame]:
+    """For `linked`: pairs of different roots whose word edit distance can be small enough, percent from 67.
+
+    k edits leave all but k words of the longer text in both, in one order. With a text's words
+    put rarest first, the first d words that both keep lie among the first k + d of either, for
+    every d up to the number they must keep. Texts join on two such words first. Buckets whose
+    pairs would be many are split by STEP further words at a time, until few roots are left in each or the
+    words are all that must be kept; a bucket's main root is not joined with itself. Before a split the members are
+    compared with a leader by `settle`, if given, and pairs of what this joins are left out.
+    Nothing is dropped: each pair meets at the depth where its bucket is not split any more.
+    Long texts have too many choices of words and go by `_long_pairs`.
+    """
     if percent < 67:
         raise ValueError("below 67 percent two texts within the distance may share no word pair")
-
-    def pairs(live: DataFrame) -> DataFrame:
-        listed = texts.join(live.select("node"), "node", "left_semi")
-        listed = listed.mapInArrow(_word_pairs(percent), "node long, pair long, at long, n long, reach long, w0 long, w1 long")
-        listed = land(listed, "listed")
-        often = listed.groupBy("pair").agg(F.count("*").alias("often")).where("often > 1")
-        place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "pair", "at"))
-        first = listed.join(often, "pair", "left").withColumn("place", place)
-        first = first.where("place <= reach and often > 1").join(live, "node")
-        first = land(first.select("node", "root", "n", "place", "at", "w0", "w1", "pair"), "prefixes")
-        held = first.groupBy("pair", "root").agg(F.count("*").alias("c"))
-        main = held.groupBy("pair").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("roots"))
-        main = land(main.where("roots > 1").select("pair", "main"), "main")
-        first = land(first.join(main, "pair"), "shared")
-        odd = first.where("root <> main").select("pair", *(F.col(c).alias(f"_{c}") for c in ("node", "root", "n", "place", "at", "w0", "w1")))
-        most = f"(greatest(n, _n) * {100 - percent} div 100)"
-        need = f"(greatest(n, _n) - 1 - 2 * {most})"
-        both = first.alias("x").join(odd.alias("y"), F.expr(
-            f"x.pair = y.pair and root <> _root and abs(n - _n) <= {most} and abs(at - _at) <= {most}"
-            f" and n - place >= {need} and _n - _place >= {need}"
-            f" and bit_count(w0 ^ _w0) + bit_count(w1 ^ _w1) <= 2 * {most}"
-        ))
-        return both.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
+    spare = f"(n * {100 - percent} div 100)"
+    most, near = _apart(percent)
+    need = f"(greatest(n, _n) - {most})"
+    # Words before, between and after the outermost chosen ones differ in number by the edits at most.
+    near += f" and abs(lo - _lo) + abs(hi - lo - _hi + _lo) + abs(n - hi - _n + _hi) <= {most} and greatest(n, _n) < {LONG}"
+
+    def pairs(live: DataFrame, settle: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        given = texts.join(live.select("node"), "node", "left_semi")
+        lists = land(given.mapInArrow(per_batch(_word_lists), "node long, n long, w0 long, w1 long, words array<long>"), "lists")
+        long = lists.where(f"n * 100 div {percent} >= {LONG}").select("node")
+        found = [land(_long_pairs(given.join(long, "node", "left_semi"), live, percent), "long")]
+        lists = lists.where(f"n < {LONG}")
+        words = lists.select("node", F.posexplode("words").alias("at", "word"))
+        often = words.groupBy("word").agg(F.count("*").alias("often")).where("often > 1")
+        words = words.join(often, "word", "left").select("node", F.struct(F.coalesce("often", F.lit(1)).alias("often"), "word", "at").alias("t"))
+        order = words.groupBy("node").agg(F.array_sort(F.collect_list("t")).alias("order"))
+        order = land(lists.drop("words").join(order, "node"), "order")
+        start = order.join(live, "node").withColumns(
+            {"bucket": F.lit(0).cast("long"), "place": F.lit(0).cast("long"), "places": F.expr("cast(array() as array<int>)")}
+        )
+        begin, depth = 0, 2
+        while True:
+            rows = land(_grown(start, begin, depth, percent), "rows")
+            # How many rows a split would make of one, at most.
+            ways = " * ".join(f"({spare} + depth - place + {i}) / {i}" for i in range(1, STEP + 1))
+            rows = rows.withColumn("more", F.expr(f"cast(round({ways}) as long)"))
+            mains = land(_mains(rows, "bucket", "more"), "mains")
+            crowded = F.expr(f"rows * odd > {CROWD} * more")
+            calm = rows.join(mains.where(~crowded).select("bucket", "main"), "bucket").withColumn("split", F.lit(False))
+            full = land(rows.join(mains.where(crowded).select("bucket"), "bucket", "left_semi"), "full")
+            split = not full.isEmpty()
+            if split:
+                if settle is not None:
+                    lead = F.min_by(F.struct("node", "root", "n", "w0", "w1", "lo", "hi"), F.xxhash64("node", "bucket")).alias("l")
+                    leads = full.groupBy("bucket").agg(lead).select("bucket", "l.*")
+                    by = full.join(_other(leads, "bucket"), "bucket").where(f"root <> _root and {near}")
+                    roots = settle(by.select(*_pairs(F.col("node"), F.col("_node"))).distinct())
+                    full = full.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+                    full = land(full, "full")
+                mains = land(_mains(full, "bucket", "more"), "mains")
+                full = full.join(mains.select("bucket", "main", crowded.alias("split")), "bucket")
+                full = land(full, "full")
+                calm = calm.unionByName(full)
+            calm = land(calm.drop("more", "place", "places"), "calm")
+            odd = _other(calm.where("root <> main").select("bucket", "node", "root", "n", "w0", "w1", "lo", "hi"), "bucket")
+            # A pair is listed at the last depth it surely reaches; in a split bucket only if it needs no more words.
+            here = f"if(split, {need} = depth, least({need}, {depth}) = depth)"
+            both = calm.join(odd, "bucket").where(f"root <> _root and {near} and {here}")
+            found.append(land(both.select(*_pairs(F.col("node"), F.col("_node"))).distinct(), "near"))
+            if not split:
+                break
+            start = full.where(f"split and depth = {depth}").select("bucket", "node", "root", "place", "places").join(order, "node")
+            if start.isEmpty():
+                break
+            begin, depth = depth, depth + STEP
+        total = found[0]
+        for x in found[1:]:
+            total = total.unionByName(x)
+        return total.distinct()
 
     return pairs
 
@@ -196,7 +340,7 @@ def linked(
     texts: DataFrame,
     test: tuple[Callable, Callable],
     rounds: int = 2,
-    narrow: Callable[[DataFrame], DataFrame] | None = None,
+    narrow: Callable[..., DataFrame] | None = None,
 ) -> DataFrame:
     """(node, root) of the components that confirmed links form within buckets.
 
@@ -204,14 +348,25 @@ def linked(
     member with the smallest one of its bucket, later rounds with another leader drawn by
     hash, and only across components. Buckets that still hold two components are then
     resolved in full: all their untested pairs from different components are compared, or, with
-    `narrow`, those it gives. It gets the (node, root) rows of these buckets and must give (a, b)
-    for every pair of different roots that can pass the test.
+    `narrow`, those it gives. It gets the (node, root) rows of these buckets, and a function that compares
+    pairs and returns the roots they lead to, (node, root) rows of linked nodes. It must give (a, b) for every
+    pair of different roots that can pass the test, but for those of one root by then.
     Two members of one bucket that are alike thus always end in one component.
     """
-    spark = members.sparkSession
     size = members.groupBy("bucket").agg(F.count("*").alias("_n"))
     tested = roots = None
-    live = members
+
+    def settle(pairs: DataFrame) -> DataFrame:
+        """The roots after these pairs were compared, but for those compared before."""
+        nonlocal tested, roots
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = land(pairs, "pairs")
+        new = land(confirmed(pairs, texts, test), "links")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        roots = land(components(new) if roots is None else merged(roots, new), "roots")
+        return roots
+
     for r in range(rounds + 1):
         if roots is not None:
             # Buckets of two were settled by their only pair; the others stay while they hold two components.
@@ -230,15 +385,10 @@ def linked(
             found = live.join(leads, "bucket").where("root <> _lr")
             pairs = found.select(*_pairs(F.col("_ln"), F.col("node"))).distinct()
         elif narrow is not None:
-            pairs = narrow(live.select("node", "root").distinct())
+            pairs = narrow(live.select("node", "root").distinct(), settle)
         else:
             other = live.select("bucket", F.col("node").alias("_ln"), F.col("root").alias("_lr"))
             found = live.join(other, "bucket").where("root < _lr")
             pairs = found.select(*_pairs(F.col("_ln"), F.col("node"))).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = land(pairs, "pairs")
-        new = land(confirmed(pairs, texts, test), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        roots = land(components(new) if roots is None else merged(roots, new), "roots")
+        settle(pairs)
     return roots

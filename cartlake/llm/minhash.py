@@ -16,6 +16,8 @@ doc_id and text stay or go together (run exact dedup before). An empty table giv
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -104,7 +106,7 @@ def prefix_pairs(texts: DataFrame, k: int, percent: int):
     holds most of a shingle are not joined with each other.
     """
 
-    def pairs(live: DataFrame) -> DataFrame:
+    def pairs(live: DataFrame, settle: Callable | None = None) -> DataFrame:
         listed = texts.join(live.select("node"), "node", "left_semi")
         listed = land(listed.mapInArrow(_listed(k), "node long, shingle long, n long"), "listed")
         often = listed.groupBy("shingle").agg(F.count("*").alias("often"))
