@@ -82,7 +82,7 @@ def words_alike(percent: int) -> tuple[Callable, Callable]:
 #: Texts of so many words and more are joined on neighbouring word pairs, shorter ones on rare words.
 LONG = 20
 #: Words by which a crowded bucket is split at once.
-STEP = 4
+STEP = 8
 #: A bucket is split by a further word if that makes so many times fewer rows than its pairs are.
 CROWD = 32
 
@@ -230,7 +230,7 @@ def edit_pairs(texts: DataFrame, percent: int) -> Callable[..., DataFrame]:
     put rarest first, the first d words that both keep lie among the first k + d of either, for
     every d up to the number they must keep. Texts join on two such words first. Buckets whose
     pairs would be many are split by STEP further words at a time, until few roots are left in each or the
-    words are all that must be kept; a bucket's main root is not joined with itself. Before a split the members are
+    words are all that must be kept; a bucket's main root is not joined with itself. Before the first two splits the members are
     compared with a leader by `settle`, if given, and pairs of what this joins are left out.
     Nothing is dropped: each pair meets at the depth where its bucket is not split any more.
     Long texts have too many choices of words and go by `_long_pairs`.
@@ -269,7 +269,7 @@ def edit_pairs(texts: DataFrame, percent: int) -> Callable[..., DataFrame]:
             full = land(rows.join(mains.where(crowded).select("bucket"), "bucket", "left_semi"), "full")
             split = not full.isEmpty()
             if split:
-                if settle is not None:
+                if settle is not None and begin <= 2:
                     lead = F.min_by(F.struct("node", "root", "n", "w0", "w1", "lo", "hi"), F.xxhash64("node", "bucket")).alias("l")
                     leads = full.groupBy("bucket").agg(lead).select("bucket", "l.*")
                     by = full.join(_other(leads, "bucket"), "bucket").where(f"root <> _root and {near}")
