@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cartlake.llm.common import bounded, chunked, land, per_batch, small_batches, texts_of
-from cartlake.llm.words import alike, document_words, exact_shingles, few_edits, shingle_hashes, split_words
+from cartlake.llm.words import alike, document_words, exact_shingles, few_edits, mix, shingle_hashes, split_words
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
@@ -81,6 +81,8 @@ def words_alike(percent: int) -> tuple[Callable, Callable]:
 
 #: Texts of so many words and more are joined on neighbouring word pairs, shorter ones on rare words.
 LONG = 20
+#: Rows of a word pair outside its main root from which on they are first compared with leaders.
+MANY = 4
 #: Words by which a crowded bucket is split at once.
 STEP = 8
 #: A bucket is split by a further word if that makes so many times fewer rows than its pairs are.
@@ -123,7 +125,11 @@ def _word_lists(batch: pa.RecordBatch):
 
 
 def _word_pairs(percent: int):
-    """Turns (node, text) into one row per word pair: its place, the number of words, how many pairs to index, the words' bits."""
+    """Turns (node, text) into rows of its distinct word pairs, with the number of words, how many pairs to index, the words' bits.
+
+    What a pair repeats comes in rows that stand for 1, 1, 2, 4, 8... further occurrences (`weight`),
+    each under a hash of its own; `lo` and `hi` are the places of the pair's first and last occurrence.
+    """
 
     def work(batch: pa.RecordBatch):
         texts, nodes = texts_of(batch.column("text")), batch.column("node").to_numpy(zero_copy_only=False)
@@ -136,18 +142,32 @@ def _word_pairs(percent: int):
                 other = np.minimum(size + more, longest)
                 need = np.minimum(need, other - 1 - 2 * (other * (100 - percent) // 100))
             each = np.maximum(size - 1, 0)
+            text = np.repeat(np.arange(len(size)), each)
             at = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-            shingles = shingle_hashes(hashes, 2)
+            pair = shingle_hashes(hashes, 2)[at + bounds[:-1][text]]
+            order = np.lexsort((pair, text))  # stable: places of one pair ascend
+            text, at, pair = text[order], at[order], pair[order]
+            new = np.ones(len(pair) + 1, bool)
+            new[1:-1] = (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])
+            edges = np.flatnonzero(new)
+            first, last = np.repeat(edges[:-1], np.diff(edges)), np.repeat(edges[1:] - 1, np.diff(edges))
+            step = np.frexp(np.arange(len(pair)) - first)[1]
+            new[1:-1] |= step[1:] != step[:-1]
+            edges = np.flatnonzero(new)
+            own = edges[:-1]
+            step, text = step[own].astype(np.uint64), text[own]
             w0, w1 = _bits(hashes, bounds)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "node": pa.array(np.repeat(nodes[i:j], each)),
-                    "pair": pa.array(shingles[at + np.repeat(bounds[:-1], each)].view(np.int64)),
-                    "at": pa.array(at),
-                    "n": pa.array(np.repeat(size, each)),
-                    "reach": pa.array(np.repeat(size - need, each)),
-                    "w0": pa.array(np.repeat(w0, each)),
-                    "w1": pa.array(np.repeat(w1, each)),
+                    "node": pa.array(nodes[i:j][text]),
+                    "pair": pa.array(np.where(step == 0, pair[own], mix(pair[own] * np.uint64(3) + step)).view(np.int64)),
+                    "weight": pa.array(np.diff(edges)),
+                    "lo": pa.array(at[first[own]]),
+                    "hi": pa.array(at[last[own]]),
+                    "n": pa.array(size[text]),
+                    "reach": pa.array((size - need)[text]),
+                    "w0": pa.array(w0[text]),
+                    "w1": pa.array(w1[text]),
                 }
             )
 
@@ -177,31 +197,52 @@ def _mains(rows: DataFrame, key: str, *sums: str) -> DataFrame:
     return main.where("roots > 1").drop("roots")
 
 
-def _long_pairs(texts: DataFrame, live: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of `edit_pairs` where the longer text has LONG words at least.
+def _long_pairs(
+    texts: DataFrame, live: DataFrame, percent: int, settle: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of `edit_pairs` where the longer text has LONG words at least, and (node, root) of `live` by then.
 
-    k edits leave all but 2k word pairs of the longer text in both, in one order and moved by k
-    places at most. With a text's pairs put rarest first, the first that both keep thus lies
-    early in either. Texts join on such pairs only, if places, numbers of words and the sets of words
-    agree as far as k edits must leave them; members of the root that holds most of a word pair are not joined with each other.
+    k edits leave all but 2k word pairs of the longer text in both, moved by k places at most. With
+    a text's pairs put rarest first, the first of those that both hold near enough thus lies early in
+    either, counting what a pair repeats. Texts join on such pairs only, if places, numbers of words and
+    the sets of words agree as far as k edits must leave them; members of the root that holds most of a
+    word pair are not joined with each other. Occurrences of a repeated pair are not joined one by one.
+    Where many hold a word pair, they are first compared with leaders by `settle`, if given: each with one
+    of about its number of words and one of slightly more, as texts of one repeated word differ by their number only.
     """
-    listed = texts.mapInArrow(_word_pairs(percent), "node long, pair long, at long, n long, reach long, w0 long, w1 long")
-    listed = land(listed, "listed")
+    columns = "node long, pair long, weight long, lo long, hi long, n long, reach long, w0 long, w1 long"
+    listed = land(texts.mapInArrow(_word_pairs(percent), columns), "listed")
     often = listed.groupBy("pair").agg(F.count("*").alias("often")).where("often > 1")
-    place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "pair", "at"))
+    before = Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(1)), "pair").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.coalesce(F.sum("weight").over(before), F.lit(0)) + 1
     first = listed.join(often, "pair", "left").withColumn("place", place)
-    first = first.where("place <= reach and often > 1").join(live, "node")
-    first = land(first.select("node", "root", "n", "place", "at", "w0", "w1", "pair"), "prefixes")
-    main = land(_mains(first, "pair").select("pair", "main"), "main")
-    first = land(first.join(main, "pair"), "shared")
-    odd = _other(first.where("root <> main").drop("main"), "pair")
+    first = first.where("place <= reach and often > 1").select("node", "n", "place", "lo", "hi", "w0", "w1", "pair")
+    first = land(first, "prefixes")
     most, near = _apart(percent)
     need = f"(greatest(n, _n) - 1 - 2 * {most})"
-    both = first.alias("x").join(odd.alias("y"), F.expr(
-        f"x.pair = y.pair and root <> _root and greatest(n, _n) >= {LONG} and {near}"
-        f" and abs(at - _at) <= {most} and n - place >= {need} and _n - _place >= {need}"
-    ))
-    return both.select(*_pairs(F.col("node"), F.col("_node"))).distinct()
+    near = (
+        f"root <> _root and greatest(n, _n) >= {LONG} and {near}"
+        f" and lo - _hi <= {most} and _lo - hi <= {most} and n - place >= {need} and _n - _place >= {need}"
+    )
+
+    def shared() -> DataFrame:
+        rows = land(first.join(live, "node"), "rooted")
+        return land(rows.join(land(_mains(rows, "pair").select("pair", "main", "odd"), "main"), "pair"), "shared")
+
+    rows = shared()
+    many = rows.where(f"odd >= {MANY}").drop("main", "odd")
+    if settle is not None and not many.isEmpty():
+        # Numbers of words of one class, or of two that follow each other, are within the distance.
+        many = many.withColumn("class", F.col("n") if percent == 100 else F.expr(f"int(2 * ln(n) / ln(100 / {percent}))"))
+        lead = F.min_by(F.struct("node", "root", "n", "place", "lo", "hi", "w0", "w1"), F.xxhash64("node", "pair")).alias("l")
+        leads = land(_other(many.groupBy("pair", "class").agg(lead).select("pair", "class", "l.*"), "pair", "class"), "leads")
+        by = many.withColumn("class", F.explode(F.array("class", F.col("class") + 1))).join(leads, ["pair", "class"]).where(near)
+        roots = settle(by.select(*_pairs(F.col("node"), F.col("_node"))).distinct())
+        live = land(live.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "live")
+        rows = shared()
+    odd = _other(rows.where("root <> main").drop("main", "odd"), "pair")
+    both = rows.join(odd, "pair").where(near)
+    return both.select(*_pairs(F.col("node"), F.col("_node"))).distinct(), live
 
 
 def _grown(rows: DataFrame, begin: int, end: int, percent: int) -> DataFrame:
@@ -247,7 +288,8 @@ def edit_pairs(texts: DataFrame, percent: int) -> Callable[..., DataFrame]:
         given = texts.join(live.select("node"), "node", "left_semi")
         lists = land(given.mapInArrow(per_batch(_word_lists), "node long, n long, w0 long, w1 long, words array<long>"), "lists")
         long = lists.where(f"n * 100 div {percent} >= {LONG}").select("node")
-        found = [land(_long_pairs(given.join(long, "node", "left_semi"), live, percent), "long")]
+        far, live = _long_pairs(given.join(long, "node", "left_semi"), live, percent, settle)
+        found = [land(far, "long")]
         lists = lists.where(f"n < {LONG}")
         words = lists.select("node", F.posexplode("words").alias("at", "word"))
         often = words.groupBy("word").agg(F.count("*").alias("often")).where("often > 1")
