@@ -272,7 +272,7 @@ def edit_pairs(texts: DataFrame, percent: int) -> Callable[..., DataFrame]:
     every d up to the number they must keep. Texts join on two such words first. Buckets whose
     pairs would be many are split by STEP further words at a time, until few roots are left in each or the
     words are all that must be kept; a bucket's main root is not joined with itself. Before the first two splits the members are
-    compared with a leader by `settle`, if given, and pairs of what this joins are left out.
+    compared by `settle`, if given, with a leader of as many words and one of a word more, and pairs of what this joins are left out.
     Nothing is dropped: each pair meets at the depth where its bucket is not split any more.
     Long texts have too many choices of words and go by `_long_pairs`.
     """
@@ -313,8 +313,9 @@ def edit_pairs(texts: DataFrame, percent: int) -> Callable[..., DataFrame]:
             if split:
                 if settle is not None and begin <= 2:
                     lead = F.min_by(F.struct("node", "root", "n", "w0", "w1", "lo", "hi"), F.xxhash64("node", "bucket")).alias("l")
-                    leads = full.groupBy("bucket").agg(lead).select("bucket", "l.*")
-                    by = full.join(_other(leads, "bucket"), "bucket").where(f"root <> _root and {near}")
+                    leads = full.groupBy("bucket", F.col("n").alias("class")).agg(lead).select("bucket", "class", "l.*")
+                    by = full.withColumn("class", F.explode(F.array("n", F.col("n") + 1)))
+                    by = by.join(_other(leads, "bucket", "class"), ["bucket", "class"]).where(f"root <> _root and {near}")
                     roots = settle(by.select(*_pairs(F.col("node"), F.col("_node"))).distinct())
                     full = full.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
                     full = land(full, "full")
@@ -322,7 +323,9 @@ def edit_pairs(texts: DataFrame, percent: int) -> Callable[..., DataFrame]:
                 full = full.join(mains.select("bucket", "main", crowded.alias("split")), "bucket")
                 full = land(full, "full")
                 calm = calm.unionByName(full)
-            calm = land(calm.drop("more", "place", "places"), "calm")
+            calm = calm.drop("more", "place", "places")
+            # Many choices among a repeated word's occurrences agree in all that the join looks at.
+            calm = land(calm.distinct() if begin else calm, "calm")
             odd = _other(calm.where("root <> main").select("bucket", "node", "root", "n", "w0", "w1", "lo", "hi"), "bucket")
             # A pair is listed at the last depth it surely reaches; in a split bucket only if it needs no more words.
             here = f"if(split, {need} = depth, least({need}, {depth}) = depth)"

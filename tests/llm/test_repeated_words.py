@@ -83,3 +83,23 @@ def test_texts_of_one_repeated_word_are_not_compared_pair_by_pair(spark, monkeyp
     roots = linked(members, texts, words_alike(80), rounds=0, narrow=edit_pairs(texts, 80)).collect()
     assert len({r.node for r in roots}) == n and {r.root for r in roots} == {0}
     assert sum(compared) < 10 * n  # all pairs: 7,140
+
+
+def test_choices_among_a_repeated_word_are_joined_once(spark, monkeypatch):
+    monkeypatch.setattr(links, "CROWD", 0)
+    seen = []
+
+    def landed(df, what):
+        out = land(df, what)
+        if what == "calm":
+            seen.append((out.count(), out.distinct().count()))
+        return out
+
+    monkeypatch.setattr(links, "land", landed)
+    texts = [f"a{i}" + " x" * (12 + i % 3) for i in range(6)]
+    rows = rows_of(spark, texts)
+    near = confirmed(edit_pairs(rows, 80)(rows.select("node", F.col("node").alias("root"))), rows, words_alike(80))
+    words = [t.encode().split() for t in texts]
+    want = {(a, b) for b in range(6) for a in range(b) if few_edits(words[a], words[b], 80)}
+    assert {(r.a, r.b) for r in near.collect()} == want and want
+    assert len(seen) > 1 and all(n == distinct for n, distinct in seen)
