@@ -1,0 +1,115 @@
+"""Landing of the derived events: what it leaves on disk, and the same events whichever tables are broadcast."""
+
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+
+from cartlake import catalogue
+from cartlake.config import BRONZE, Storage
+from cartlake.session import setting
+from cartlake.sources import derived
+from cartlake.sources.warehouse import Warehouse
+
+FOLDER = "/root/testdata/sf0.001"
+BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
+DAY = datetime(2001, 1, 1)
+
+# Keys repeat and are null; parts 3 and sellers 9 are missing.
+TABLES = {
+    "nation": ("n_nationkey int, n_name string", [(1, "A"), (2, "B")]),
+    "customer": ("c_custkey bigint, c_nationkey int", [(1, 1), (2, 2), (None, 1)]),
+    "supplier": ("s_suppkey bigint, s_nationkey int", [(1, 1), (2, 2), (2, 1), (None, 1), (4, None)]),
+    "part": ("p_partkey bigint, p_type string, p_size int", [(1, "X", 1), (1, "Y", 2), (2, None, None), (9, "Z", 3), (None, "N", 4)]),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz",
+        [(k, k % 2 + 1, "O", 1.5, DAY) for k in range(1, 9)] + [(1, 1, "P", 2.5, DAY), (None, 1, "O", 3.5, DAY)],
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double, l_tax double, l_shipdate timestamp_ntz",
+        [
+            (k, p, s, n, 10.0 * n if n else None, 0.02 * p if p else 0.0, datetime(2001, 1, 1 + k, 1, n or 0))
+            for k, p, s, n in [
+                (1, 1, 1, 1), (1, 2, 2, 1), (1, 1, 2, 2), (2, 9, 1, 1), (2, 9, 1, None), (2, 1, 1, None), (3, 3, 1, 1), (4, 1, 9, 1),
+                (5, None, 1, 1), (5, 2, None, 2), (6, 2, 4, 1), (7, 3, 2, 1), (7, 9, 2, 2), (8, 1, 1, 2), (8, 1, 1, 2), (8, 1, 1, 1),
+            ]
+        ] + [(None, 1, 1, 1, 1.0, 0.0, DAY)],
+    ),
+}
+
+
+@pytest.fixture(scope="module")
+def odd_folder(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("odd")
+    for name, (schema, rows) in TABLES.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def shuffle_files(spark):
+    places = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {x for place in places for x in Path(place).rglob("shuffle_*")}
+
+
+def all_shuffled(spark):
+    return setting(spark, BROADCAST, "-1")
+
+
+def parts_shuffled(spark, folder):
+    """Parts are just beyond the limit, sellers and nations are not."""
+    columns = {"part": ("p_partkey", "p_type", "p_size"), "supplier": ("s_suppkey", "s_nationkey"), "nation": ("n_nationkey", "n_name")}
+    size = {
+        name: derived.table(spark, folder, name).select(*some)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        for name, some in columns.items()
+    }
+    assert max(size["supplier"], size["nation"]) < size["part"]
+    return setting(spark, BROADCAST, str(size["part"] - 1))
+
+
+def test_events_are_the_same_by_broadcast_and_by_shuffle(spark, odd_folder, tmp_path):
+    sent = rows_of(derived.events(spark, odd_folder))
+    assert len(sent) > 20
+    with all_shuffled(spark):
+        assert rows_of(derived.events(spark, odd_folder)) == sent
+        assert rows_of(derived.events(spark, odd_folder, str(tmp_path / "all"))) == sent
+    with parts_shuffled(spark, odd_folder):
+        assert rows_of(derived.events(spark, odd_folder, str(tmp_path / "parts"))) == sent
+    kept = spark.read.parquet(str(tmp_path / "parts"))
+    assert "p_type" in kept.columns and "sn" not in kept.columns
+
+
+def test_lines_are_shuffled_narrow_and_never_as_half_gathered_lists(spark):
+    with parts_shuffled(spark, FOLDER):
+        plan = derived.events(spark, FOLDER)._jdf.queryExecution().executedPlan().toString().splitlines()
+    exchanges = [i for i, line in enumerate(plan) if "Exchange hashpartitioning(l_orderkey" in line]
+    assert len(exchanges) == 2
+    for i in exchanges:
+        assert "Aggregate" not in plan[i + 1]
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    lake = Warehouse(spark, Storage(root=str(tmp_path)))
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffle_files(spark), spark.conf.get(name)
+    with all_shuffled(spark):
+        stage = str(tmp_path / "stage")
+        lake.append(BRONZE, "raw_events", derived.events(spark, FOLDER, stage))
+    assert list(Path(stage).glob("part-*")) and lake.row_count(BRONZE, "raw_events") > 1000
+    assert shuffle_files(spark) <= before
+    assert spark.conf.get(name) == was
+
+
+def test_the_landed_lake_is_small_and_keeps_no_stage(spark, tmp_path):
+    with all_shuffled(spark):
+        landed = catalogue.bronze(spark, f"{FOLDER}/")  # a folder name that no other test lands
+    lake = catalogue.warehouse(spark, f"{FOLDER}/")
+    assert not list(Path(lake.storage.root).parent.glob("lines-of-orders-*"))
+    plain = Warehouse(spark, Storage(root=str(tmp_path), write_options=catalogue.COMPACT))
+    plain.append(BRONZE, "raw_events", landed)
+    assert rows_of(plain.read(BRONZE, "raw_events")) == rows_of(landed)
+    size = {x: sum(load.bytes for load in x.version(BRONZE, "raw_events").loads) for x in (lake, plain)}
+    assert size[lake] < 0.95 * size[plain]
